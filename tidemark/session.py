@@ -35,14 +35,21 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        _use(spark, named)
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemark-")
+    _use(spark, made)
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
 
+def _use(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

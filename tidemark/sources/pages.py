@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.paging import assign_pages, page_bounds
+from tidemark.session import shared_dir
 from tidemark.spec import EntitySpec
 
 # Fixed pattern: a page is named <cursor>_<offset>, as a file or as a folder.
@@ -111,10 +112,11 @@ def land_pages(
     One folder per page, named <cursor>_<offset>; landing the same delta on the
     same day again replaces its pages.
     """
-    spark = frame.sparkSession
     folder = f"{root}/{spec.path.strip('/')}"
+    shared_dir(frame.sparkSession)
     paged = assign_pages(frame, spec)
-    bounds = page_bounds(paged, spec, since)
+    # One small row per page, written once: it names the folders and is returned.
+    bounds = page_bounds(paged, spec, since).checkpoint()
     labels = bounds.select("page_no", F.concat_ws("_", "cursor", "offset").alias("page"))
     day = {"year": "%04d", "month": "%02d", "day": "%02d"}
     (
@@ -131,18 +133,4 @@ def land_pages(
         .partitionBy("year", "month", "day", "page")
         .json(folder)
     )
-    written = spark.read.schema(T.StructType([spec.schema[spec.version], spec.schema[spec.key]])).json(
-        [f"{folder}/{'/'.join(f'{part}={fmt % getattr(ingested_at, part)}' for part, fmt in day.items())}"]
-    )
-    stats = written.groupBy("page").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.max(F.struct(spec.version, spec.key)).alias("_newest"),
-    )
-    parts = F.split("page", "_")
-    return stats.select(
-        parts[0].cast("long").alias("cursor"),
-        parts[1].cast("long").alias("offset"),
-        "records",
-        F.col(f"_newest.{spec.version}").alias("last_version"),
-        F.col(f"_newest.{spec.key}").alias("last_id"),
-    )
+    return bounds
