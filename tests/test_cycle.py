@@ -13,6 +13,8 @@ from tidemark.plans.load import DataQualityError, load_table
 from tidemark.sources.pages import land_pages, missing_pages, list_pages, scan_pages, scan_refs
 from tidemark.streaming import consumer, producer
 
+# Few buckets: every file costs more than its rows here.
+COMPANY, GAME, GENRE = (changed(e, buckets=2) for e in (s.COMPANY, s.GAME, s.GENRE))
 NOW = datetime(2026, 9, 8, 20, tzinfo=timezone.utc)
 T0 = 1_700_000_000
 
@@ -29,25 +31,25 @@ def companies(spark, n, start=T0):
 
 def test_landed_pages_read_back_whole(spark, tmp_path):
     root = str(tmp_path)
-    pages = land_pages(companies(spark, 1201), s.COMPANY, root, NOW, since=T0)
+    pages = land_pages(companies(spark, 1201), COMPANY, root, NOW, since=T0)
     found = {(p.cursor, p.offset): p.records for p in pages.collect()}
     assert found == {(T0, 0): 500, (T0, 500): 500, (T0, 1000): 201}
-    back = scan_pages(spark, s.COMPANY, f"{root}/companies")
+    back = scan_pages(spark, COMPANY, f"{root}/companies")
     assert back.count() == 1201
     assert (tmp_path / "companies/year=2026/month=09/day=08" / f"page={T0}_500").is_dir()
-    one = scan_pages(spark, s.COMPANY, f"{root}/companies/year=2026/month=09/day=08/page={T0}_500")
+    one = scan_pages(spark, COMPANY, f"{root}/companies/year=2026/month=09/day=08/page={T0}_500")
     assert {(r._cursor, r._offset) for r in one.collect()} == {(T0, 500)}
     assert one.count() == 500
 
 
 def test_landing_again_replaces_pages(spark, tmp_path):
     for _ in range(2):
-        land_pages(companies(spark, 700), s.COMPANY, str(tmp_path), NOW, since=T0)
-    assert scan_pages(spark, s.COMPANY, f"{tmp_path}/companies").count() == 700
+        land_pages(companies(spark, 700), COMPANY, str(tmp_path), NOW, since=T0)
+    assert scan_pages(spark, COMPANY, f"{tmp_path}/companies").count() == 700
 
 
 def test_page_names_stay_unique_when_one_second_holds_all_rows(spark, tmp_path):
-    small = changed(s.COMPANY, page_size=5000)
+    small = changed(COMPANY, page_size=5000)
     same = companies(spark, 25_000).withColumn("updated_at", F.lit(T0).cast("long"))
     pages = land_pages(same, small, str(tmp_path), NOW, since=T0).collect()
     assert sorted((p.cursor, p.offset) for p in pages) == [(T0, o) for o in range(0, 25_000, 5000)]
@@ -62,8 +64,8 @@ def test_array_files_and_missing_files(spark, tmp_path):
     refs = spark.createDataFrame(
         [(T0, 0, NOW), (T0, 500, NOW)], "cursor_value long, offset_value long, created_at timestamp"
     )
-    assert scan_refs(spark, s.COMPANY, str(tmp_path), refs).count() == 3
-    assert scan_refs(spark, s.COMPANY, str(tmp_path), refs.where("offset_value > 0")).count() == 1
+    assert scan_refs(spark, COMPANY, str(tmp_path), refs).count() == 3
+    assert scan_refs(spark, COMPANY, str(tmp_path), refs.where("offset_value > 0")).count() == 1
     logged = spark.createDataFrame(
         [(f"companies/year=2026/month=09/day=08/{T0}_{o}.json",) for o in (0, 500, 1000)], "path string"
     )
@@ -75,51 +77,51 @@ def test_upsert_load_is_idempotent_and_order_free(spark, store):
     one = companies(spark, 50)
     two = one.where("id >= 25").select("id", F.lit("new").alias("name"), (F.col("updated_at") + 1000).alias("updated_at"))
     for frame in (one, two, two):
-        load_table(store, s.COMPANY, frame, NOW)
-    table = store.read(s.COMPANY.main_table())
+        load_table(store, COMPANY, frame, NOW)
+    table = store.read(COMPANY.main_table())
     assert table.count() == 50
     assert table.where("name = 'new'").count() == 25
     assert "_hash" in table.columns and table.where("_hash is null").count() == 0
 
 
 def test_token_makes_a_retry_a_no_op(spark, store):
-    load_table(store, s.COMPANY, companies(spark, 5), NOW, token="q:0")
-    load_table(store, s.COMPANY, companies(spark, 9), NOW, token="q:0")
-    assert store.read(s.COMPANY.main_table()).count() == 5
+    load_table(store, COMPANY, companies(spark, 5), NOW, token="q:0")
+    load_table(store, COMPANY, companies(spark, 9), NOW, token="q:0")
+    assert store.read(COMPANY.main_table()).count() == 5
 
 
 def test_replay_keeps_newer_rows(spark, store):
     old = companies(spark, 5)
     new = old.select("id", F.lit("new").alias("name"), (F.col("updated_at") + 10).alias("updated_at"))
-    load_table(store, s.COMPANY, new, NOW)
-    load_table(store, s.COMPANY, old, NOW, replay=True)
-    assert store.read(s.COMPANY.main_table()).where("name = 'new'").count() == 5
-    load_table(store, s.COMPANY, old, NOW)
-    assert store.read(s.COMPANY.main_table()).where("name = 'new'").count() == 0
+    load_table(store, COMPANY, new, NOW)
+    load_table(store, COMPANY, old, NOW, replay=True)
+    assert store.read(COMPANY.main_table()).where("name = 'new'").count() == 5
+    load_table(store, COMPANY, old, NOW)
+    assert store.read(COMPANY.main_table()).where("name = 'new'").count() == 0
 
 
 def test_history_in_steps_equals_history_at_once(spark, store, tmp_path):
     rows = [(1, "a", T0, [1]), (1, "b", T0 + 100, [2]), (2, "x", T0 + 5, None), (1, "late", T0 + 50, [3])]
     for row in rows:
-        load_table(store, s.GAME, games(spark, row), NOW)
-    load_table(store, s.GAME, games(spark, rows[1]), NOW)
+        load_table(store, GAME, games(spark, row), NOW)
+    load_table(store, GAME, games(spark, rows[1]), NOW)
     pick = ["id", "name", "_valid_from", "_valid_to", "_is_current", "genres"]
-    stepwise = store.read(s.GAME.main_table()).select(*pick).orderBy("id", "_valid_from").collect()
+    stepwise = store.read(GAME.main_table()).select(*pick).orderBy("id", "_valid_from").collect()
     other = type(store)(spark, str(tmp_path / "once"))
-    load_table(other, s.GAME, games(spark, *rows), NOW)
-    assert stepwise == other.read(s.GAME.main_table()).select(*pick).orderBy("id", "_valid_from").collect()
+    load_table(other, GAME, games(spark, *rows), NOW)
+    assert stepwise == other.read(GAME.main_table()).select(*pick).orderBy("id", "_valid_from").collect()
     assert [(r.name, r._is_current) for r in stepwise] == [("a", False), ("late", False), ("b", True), ("x", True)]
     assert stepwise[0]._valid_to == stepwise[1]._valid_from
 
 
 def test_current_rows_are_pruned_by_partition(spark, store):
-    load_table(store, s.GAME, games(spark, (1, "a", T0, [1]), (1, "b", T0 + 9, [1])), NOW)
-    plan = store.read(s.GAME.main_table()).where("_is_current")._jdf.queryExecution().executedPlan().toString()
+    load_table(store, GAME, games(spark, (1, "a", T0, [1]), (1, "b", T0 + 9, [1])), NOW)
+    plan = store.read(GAME.main_table()).where("_is_current")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_is_current" in plan
 
 
 def test_junctions_and_main_projection(spark, store):
-    spec = changed(s.GAME, path="bundles", name="Bundle", keep_history=False)
+    spec = changed(GAME, path="bundles", name="Bundle", keep_history=False)
     load_table(store, spec, games(spark, (1, "a", T0, [3, 3, None, 4]), (2, "b", T0, [])), NOW)
     load_table(store, spec, games(spark, (1, "a", T0 + 1, [4, 5])), NOW)
     assert "genres" not in store.read(spec.main_table()).columns
@@ -131,8 +133,8 @@ def test_junctions_and_main_projection(spark, store):
 def test_null_key_fails_the_load_and_writes_nothing(spark, store):
     bad = spark.createDataFrame([(10, "Valid Game"), (None, "Corrupted Record")], "id long, name string")
     with pytest.raises(DataQualityError):
-        load_table(store, s.GENRE, bad, NOW)
-    assert not store.exists(s.GENRE.main_table())
+        load_table(store, GENRE, bad, NOW)
+    assert not store.exists(GENRE.main_table())
 
 
 def test_mixed_types_fail_or_go_to_quarantine(spark, store, tmp_path):
@@ -144,12 +146,12 @@ def test_mixed_types_fail_or_go_to_quarantine(spark, store, tmp_path):
         {"id": 3, "name": "c", "country": 4.5, "updated_at": T0},
     ]
     (day / f"{T0}_0.json").write_text(json.dumps(records))
-    raw = scan_pages(spark, s.COMPANY, str(tmp_path / "companies"))
+    raw = scan_pages(spark, COMPANY, str(tmp_path / "companies"))
     with pytest.raises(DataQualityError, match="2 of 3"):
-        load_table(store, s.COMPANY, raw, NOW)
-    done = load_table(store, s.COMPANY, raw, NOW, on_fault="quarantine")
+        load_table(store, COMPANY, raw, NOW)
+    done = load_table(store, COMPANY, raw, NOW, on_fault="quarantine")
     assert (done.read, done.rows, done.quarantined) == (3, 1, 2)
-    assert [r.country for r in store.read(s.COMPANY.main_table()).collect()] == [4]
+    assert [r.country for r in store.read(COMPANY.main_table()).collect()] == [4]
 
 
 def test_list_field_with_a_scalar_is_a_fault(spark, store, tmp_path):
@@ -161,30 +163,30 @@ def test_list_field_with_a_scalar_is_a_fault(spark, store, tmp_path):
         {"id": 3, "name": "c", "genres": [1, "z"], "updated_at": T0},
     ]
     (day / f"{T0}_0.json").write_text(json.dumps(records))
-    raw = scan_pages(spark, s.GAME, str(tmp_path / "games"))
-    done = load_table(store, s.GAME, raw, NOW, on_fault="quarantine")
+    raw = scan_pages(spark, GAME, str(tmp_path / "games"))
+    done = load_table(store, GAME, raw, NOW, on_fault="quarantine")
     assert (done.rows, done.quarantined) == (1, 2)
-    assert store.read(s.GAME.main_table()).first().genres == [2, 1]
+    assert store.read(GAME.main_table()).first().genres == [2, 1]
 
 
 def test_history_mode_switch_is_refused(spark, store):
-    load_table(store, s.COMPANY, companies(spark, 2), NOW)
+    load_table(store, COMPANY, companies(spark, 2), NOW)
     with pytest.raises(RuntimeError, match="migrate"):
-        load_table(store, changed(s.COMPANY, keep_history=True), companies(spark, 2), NOW)
+        load_table(store, changed(COMPANY, keep_history=True), companies(spark, 2), NOW)
 
 
 def test_drain_twice_and_more_pages(spark, store, tmp_path):
     root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
-    assert consumer.drain(store, s.COMPANY, root, checkpoint) is False
-    land_pages(companies(spark, 1200), s.COMPANY, root, NOW, since=T0)
-    consumer.drain(store, s.COMPANY, root, checkpoint)
-    consumer.drain(store, s.COMPANY, root, checkpoint)
-    assert store.read(s.COMPANY.main_table()).count() == 1200
+    assert consumer.drain(store, COMPANY, root, checkpoint) is False
+    land_pages(companies(spark, 1200), COMPANY, root, NOW, since=T0)
+    consumer.drain(store, COMPANY, root, checkpoint)
+    consumer.drain(store, COMPANY, root, checkpoint)
+    assert store.read(COMPANY.main_table()).count() == 1200
     assert store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS'").count() == 1
     later = companies(spark, 600).select("id", F.lit("z").alias("name"), (F.col("updated_at") + 5000).alias("updated_at"))
-    land_pages(later, s.COMPANY, root, NOW, since=T0 + 5000)
-    consumer.drain(store, s.COMPANY, root, checkpoint)
-    table = store.read(s.COMPANY.main_table())
+    land_pages(later, COMPANY, root, NOW, since=T0 + 5000)
+    consumer.drain(store, COMPANY, root, checkpoint)
+    table = store.read(COMPANY.main_table())
     assert (table.count(), table.where("name = 'z'").count()) == (1200, 600)
     mark = store.read(s.CHECKPOINTS).where("layer = 'ANALYTICS'").collect()
     assert [(m.table_name, m.current_watermark) for m in mark] == [("Company", T0 + 5599)]
@@ -192,11 +194,11 @@ def test_drain_twice_and_more_pages(spark, store, tmp_path):
 
 def test_small_micro_batches_equal_one_load(spark, store, tmp_path):
     root = str(tmp_path / "raw")
-    small = changed(s.COMPANY, page_size=100)
+    small = changed(COMPANY, page_size=100)
     land_pages(companies(spark, 1000), small, root, NOW, since=T0)
     query = consumer.follow(store, small, root, str(tmp_path / "cp"), pages=4, until_idle=True)
     query.awaitTermination()
-    assert store.read(s.COMPANY.main_table()).count() == 1000
+    assert store.read(COMPANY.main_table()).count() == 1000
     assert store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS'").count() == 3
 
 
@@ -210,15 +212,15 @@ def test_full_cycle_with_replay(spark, store, tmp_path):
         "Game": games(spark, *[(i, f"n{i}", T0 + i, [i % 3]) for i in range(40)]),
         "Genre": genres,
     }
-    specs = [s.COMPANY, s.GAME, s.GENRE]
+    specs = [COMPANY, GAME, GENRE]
     ledger = Ledger(store)
     dangling = ledger.start_run("RAW", NOW)
     producer.run_cycle(store, source, specs, root, cps)
     runs = {r.run_id: r for r in store.read(s.RUNS).collect()}
     assert runs[dangling].status == "FAILED" and runs[dangling].error_message.startswith("Interrupted")
     assert sorted(r.status for r in runs.values()) == ["COMPLETED", "FAILED"]
-    assert store.read(s.GENRE.main_table()).count() == 1200  # a snapshot of three pages
-    assert store.read(s.GAME.main_table()).where("_is_current").count() == 40
+    assert store.read(GENRE.main_table()).count() == 1200  # a snapshot of three pages
+    assert store.read(GAME.main_table()).where("_is_current").count() == 40
     assert store.read(s.SCHEMA_HISTORY).count() == 3
 
     before = store.read(s.CHECKPOINTS).where("layer = 'ANALYTICS'").orderBy("table_name").collect()
@@ -232,9 +234,9 @@ def test_full_cycle_with_replay(spark, store, tmp_path):
     assert {e.layer: e.records_processed for e in events} == {"RAW": 10, "ANALYTICS": 10}
     after = store.read(s.CHECKPOINTS).where("layer = 'ANALYTICS'").orderBy("table_name").collect()
     assert [a.current_watermark for a in after] == [b.current_watermark for b in before]
-    table = store.read(s.COMPANY.main_table())
+    table = store.read(COMPANY.main_table())
     assert table.count() == 30 and table.where("slug = 's'").count() >= 10
-    assert store.read(s.GENRE.main_table()).count() == 7
+    assert store.read(GENRE.main_table()).count() == 7
     drift = store.read(s.SCHEMA_HISTORY).where("table_name = 'Company'").orderBy("id").collect()
     assert [d.changed_columns.added for d in drift] == [["id", "name", "updated_at"], ["slug"]]
     ids = [r.batch_id for r in store.read(s.BATCH_LOGS).orderBy("batch_id").collect()]
@@ -244,7 +246,7 @@ def test_full_cycle_with_replay(spark, store, tmp_path):
 def test_window_without_batches_completes(spark, store, tmp_path):
     ledger = Ledger(store)
     row = ledger.create_replay("Company", 1, 2, NOW, "ANALYTICS").first()
-    assert consumer.replay_pending(store, [s.COMPANY], str(tmp_path)) == 1
+    assert consumer.replay_pending(store, [COMPANY], str(tmp_path)) == 1
     event = store.read(s.FALLBACK_EVENTS).first()
     assert (event.event_id, event.status, event.records_processed) == (row.event_id, "COMPLETED", 0)
 

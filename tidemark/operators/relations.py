@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.spec import EntitySpec
 
@@ -81,14 +81,12 @@ def attach_names(
     The input is read once: all lists of a row are exploded together and put back
     by its key, so a group never exceeds what a single row already held.
     """
-    tagged = [
-        F.transform(
-            F.coalesce(F.col(ids).cast("array<long>"), F.array().cast("array<long>")),
-            lambda x, i, label=label: F.struct(F.lit(label).alias("list"), i.alias("pos"), x.alias("ref")),
-        )
-        for label, (ids, _) in lookups.items()
-    ]
-    exploded = frame.withColumn("_ref", F.explode_outer(F.concat(*tagged))).select(
+    def tagged(label: str, ids: str) -> Column:
+        entry = lambda x, i: F.struct(F.lit(label).alias("list"), i.alias("pos"), x.alias("ref"))
+        return F.transform(F.coalesce(F.col(ids).cast("array<long>"), F.array().cast("array<long>")), entry)
+
+    entries = F.concat(*[tagged(label, ids) for label, (ids, _) in lookups.items()])
+    exploded = frame.withColumn("_ref", F.explode_outer(entries)).select(
         *frame.columns,
         F.col("_ref.list").alias("list"),
         F.col("_ref.pos").alias("pos"),

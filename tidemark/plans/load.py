@@ -110,8 +110,11 @@ def load_table(
             for list_field in spec.list_fields if not spec.keep_history else ():
                 table = spec.junction_table(list_field)
                 pairs = junctions(clean, spec)[table.name]
-                known = store.read(table, store.touched(table, pairs))
-                store.write(table, insert_absent(known, pairs, list(table.keys)), "append", token)
+                state = store.state(table)
+                if token not in state.tokens:
+                    known = store.read(table, store.touched(table, pairs), state)
+                    fresh = insert_absent(known, pairs, list(table.keys))
+                    store.write(table, fresh, "append", token, state)
         return Loaded(seen["read"], figures["rows"], seen["faulty"] or 0, figures["mark"])
     finally:
         clean.unpersist()
@@ -121,15 +124,17 @@ def _write_main(
     store: TableStore, spec: EntitySpec, clean: DataFrame, token: str | None, replay: bool
 ) -> None:
     table = spec.main_table()
-    if store.has_token(table, token):
+    state = store.state(table)
+    if token in state.tokens:
         return
     staging = main_projection(clean, spec)
     if spec.full_load:
-        store.write(table, staging, "replace", token)
+        store.write(table, staging, "replace", token, state)
         return
-    existing = store.read(table, store.touched(table, staging))
+    touched = store.touched(table, staging)
+    existing = store.read(table, touched, state)
     if spec.keep_history:
         merged = apply_history(existing, staging, spec.key, spec.version)
     else:
         merged = upsert(existing, staging, [spec.key], spec.version if replay else None)
-    store.rewrite(table, merged, token)
+    store.rewrite(table, merged, touched, token, state)

@@ -8,138 +8,176 @@ writer per table at a time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.spec import TableSpec
 
-# Width of a key's slice when history rows of one hot bucket are spread over files.
+# Rows after which a new file is begun.
 ROWS_PER_FILE = 5_000_000
 
 COMMIT = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("kind", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("path", T.StringType()),
+        T.StructField("buckets", T.ArrayType(T.IntegerType())),
         T.StructField("token", T.StringType()),
     ]
 )
 
 
+PLACE = [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())]
+
+
 def bucket_of(keys: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+@dataclass(frozen=True)
+class TableState:
+    """What is published of a table: one folder per (version, bucket)."""
+
+    version: int = 0
+    folders: tuple[tuple[int, int], ...] = ()
+    tokens: frozenset[str] = frozenset()
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
     root: str
-
-    # -- commits -----------------------------------------------------------------
-
-    def _commits(self, table: TableSpec) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMIT).json(f"{self.root}/{table.name}/commits/*")
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], COMMIT)
-
-    def _live(self, table: TableSpec) -> list[T.Row]:
-        """Published folders of the newest state: one row per folder."""
-        commits = self._commits(table)
-        base = commits.agg(
-            F.coalesce(F.max(F.when(F.col("kind") == "replace", F.col("version"))), F.lit(0)).alias("base")
-        ).first()["base"]
-        current = commits.where((F.col("version") >= base) & F.col("bucket").isNotNull())
-        rewritten = current.where(F.col("kind") != "append").groupBy("bucket").agg(F.max("version").alias("since"))
-        return (
-            current.join(rewritten, "bucket", "left")
-            .where(F.col("since").isNull() | (F.col("version") >= F.col("since")))
-            .orderBy("version", "bucket")
-            .collect()
+    _prepared: set[str] = field(default_factory=set, compare=False, repr=False)
+
+    # -- state -------------------------------------------------------------------
+
+    def _commit_folder(self, table: TableSpec) -> str:
+        folder = f"{self.root}/{table.name}/commits"
+        if table.name not in self._prepared:
+            self.spark.createDataFrame([], COMMIT).write.mode("ignore").json(folder)
+            self._prepared.add(table.name)
+        return folder
+
+    def state(self, table: TableSpec) -> TableState:
+        """Newest published state, from the commit files (one short row per commit)."""
+        reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
+        commits = sorted(reader.json(self._commit_folder(table)).collect(), key=lambda c: c.version)
+        folders: dict[int, list[int]] = {}
+        for commit in commits:
+            if commit.kind == "replace":
+                folders = {}
+            for bucket in commit.buckets:
+                if commit.kind == "append":
+                    folders.setdefault(bucket, []).append(commit.version)
+                else:
+                    folders[bucket] = [commit.version]
+        return TableState(
+            commits[-1].version if commits else 0,
+            tuple((v, b) for b, versions in folders.items() for v in versions),
+            frozenset(c.token for c in commits if c.token),
         )
 
-    def _next(self, table: TableSpec) -> int:
-        return self._commits(table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
-
     def exists(self, table: TableSpec) -> bool:
-        return not self._commits(table).isEmpty()
-
-    def has_token(self, table: TableSpec, token: str | None) -> bool:
-        return token is not None and not self._commits(table).where(F.col("token") == token).isEmpty()
+        return self.state(table).version > 0
 
     # -- read --------------------------------------------------------------------
 
-    def read(self, table: TableSpec, buckets: list[int] | None = None) -> DataFrame:
+    def read(
+        self, table: TableSpec, buckets: list[int] | None = None, state: TableState | None = None
+    ) -> DataFrame:
         """The newest state, or only some buckets of it."""
-        paths = [r.path for r in self._live(table) if buckets is None or r.bucket in buckets]
-        if not paths:
+        state = state or self.state(table)
+        by_version: dict[int, list[int]] = {}
+        for version, bucket in state.folders:
+            if buckets is None or bucket in buckets:
+                by_version.setdefault(version, []).append(bucket)
+        if not by_version:
             return self.spark.createDataFrame([], table.schema)
         data = f"{self.root}/{table.name}/data"
-        frame = (
-            self.spark.read.schema(table.schema)
+        # Both are folder names, so the condition prunes folders and reads no stale file.
+        live = reduce(
+            lambda a, b: a | b,
+            [(F.col("version") == v) & F.col("bucket").isin(bs) for v, bs in by_version.items()],
+        )
+        return (
+            self.spark.read.schema(T.StructType([*table.schema, *PLACE]))
             .option("basePath", data)
-            .parquet(*[f"{data}/{p}" for p in paths])
+            .parquet(*[f"{data}/version={v}" for v in by_version])
+            .where(live)
+            .select(*table.schema.fieldNames())
         )
-        return frame.select(*table.schema.fieldNames())
 
     # -- write -------------------------------------------------------------------
 
-    def _publish(self, table: TableSpec, frame: DataFrame, kind: str, token: str | None) -> None:
-        version = self._next(table)
-        data = f"{self.root}/{table.name}/data"
-        target = f"{data}/version={version}"
+    def _publish(
+        self,
+        table: TableSpec,
+        frame: DataFrame,
+        kind: str,
+        buckets: list[int],
+        token: str | None,
+        state: TableState,
+    ) -> None:
+        version = state.version + 1
         order = [c for c in (*table.cluster_by, *table.keys) if c not in table.partition_by]
         (
             frame.select(*table.schema.fieldNames())
-            .withColumn("bucket", bucket_of(self._bucket_keys(table), table.buckets))
+            .withColumn("bucket", bucket_of(table.keys[:1], table.buckets))
+            # Rebalancing joins small buckets in a task and splits a hot one over several.
             .hint("rebalance", F.col("bucket"))
             .sortWithinPartitions("bucket", *table.partition_by, *order)
             .write.mode("overwrite")
             .option("maxRecordsPerFile", ROWS_PER_FILE)
             .partitionBy("bucket", *table.partition_by)
-            .parquet(target)
+            .parquet(f"{self.root}/{table.name}/data/version={version}")
         )
-        stored = self.spark.read.schema(table.schema).option("basePath", data).parquet(target)
-        written = (
-            [r.bucket for r in stored.select("bucket").distinct().collect()]
-            if "bucket" in stored.columns
-            else []
+        # A second writer with the same version fails here instead of hiding a commit.
+        row = (version, kind, sorted(buckets), token)
+        self.spark.createDataFrame([row], COMMIT).coalesce(1).write.mode("errorifexists").json(
+            f"{self._commit_folder(table)}/version={version}"
         )
-        rows = [(version, kind, b, f"version={version}/bucket={b}", token) for b in sorted(written)]
-        self._commit(table, version, rows or [(version, kind, None, None, token)])
-
-    def _commit(self, table: TableSpec, version: int, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("errorifexists").json(
-            f"{self.root}/{table.name}/commits/version={version}"
-        )
-
-    @staticmethod
-    def _bucket_keys(table: TableSpec) -> tuple[str, ...]:
-        return table.keys[:1]
 
     def touched(self, table: TableSpec, frame: DataFrame) -> list[int]:
         """Buckets a frame falls into: at most as many as the table has."""
-        spread = frame.select(bucket_of(self._bucket_keys(table), table.buckets).alias("b")).distinct()
+        spread = frame.select(bucket_of(table.keys[:1], table.buckets).alias("b")).distinct()
         return [r.b for r in spread.collect()]
 
-    def write(self, table: TableSpec, frame: DataFrame, mode: str = "append", token: str | None = None) -> None:
-        """``append``, ``replace``, or ``fail`` when the table is there already."""
-        if self.has_token(table, token):
-            return
-        if mode == "fail" and self.exists(table):
+    def _may_write(self, state: TableState, token: str | None) -> bool:
+        return token is None or token not in state.tokens
+
+    def write(
+        self,
+        table: TableSpec,
+        frame: DataFrame,
+        mode: str = "append",
+        token: str | None = None,
+        state: TableState | None = None,
+    ) -> None:
+        """``append``, ``replace``, or ``fail`` when the table is there already.
+
+        A token that is published already makes the write a no-op.
+        """
+        state = state or self.state(table)
+        if mode == "fail" and state.version > 0:
             raise FileExistsError(f"table {table.name} exists")
-        self._publish(table, frame, "append" if mode == "append" else "replace", token)
-
-    def rewrite(self, table: TableSpec, frame: DataFrame, token: str | None = None) -> None:
-        """Publish whole buckets: ``frame`` holds every row of the buckets it falls into."""
-        if not self.has_token(table, token):
-            self._publish(table, frame, "bucket", token)
+        if self._may_write(state, token):
+            kind = "append" if mode == "append" else "replace"
+            self._publish(table, frame, kind, list(range(table.buckets)), token, state)
+
+    def rewrite(
+        self,
+        table: TableSpec,
+        frame: DataFrame,
+        buckets: list[int],
+        token: str | None = None,
+        state: TableState | None = None,
+    ) -> None:
+        """Publish whole buckets: the frame holds every row of ``buckets`` and no other."""
+        state = state or self.state(table)
+        if self._may_write(state, token):
+            self._publish(table, frame, "bucket", buckets, token, state)
 
     def compact(self, table: TableSpec) -> None:
         """Rewrite the newest state as one version."""
-        self._publish(table, self.read(table), "replace", None)
+        self.write(table, self.read(table), "replace")

@@ -114,7 +114,7 @@ def load_snapshot(
     if newest is None:
         return None
     token = f"snapshot:{newest['run_id']}"
-    if store.has_token(spec.main_table(), token):
+    if token in store.state(spec.main_table()).tokens:
         return None
     return _load_refs(store, ledger, spec, root, refs, at or utc_now(), token)
 
