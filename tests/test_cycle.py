@@ -1,6 +1,7 @@
 """Landing, loading, streaming, replay and the full cycle."""
 
 import json
+import re
 from dataclasses import replace as changed
 from datetime import datetime, timezone
 
@@ -114,10 +115,32 @@ def test_history_in_steps_equals_history_at_once(spark, store, tmp_path):
     assert stepwise[0]._valid_to == stepwise[1]._valid_from
 
 
+def test_closed_rows_are_only_rewritten_for_late_versions(spark, store):
+    table = GAME.main_table()
+    for row in ((1, "a", T0, None), (1, "b", T0 + 9, None), (2, "x", T0, None)):
+        load_table(store, GAME, games(spark, row), NOW)
+    closed = [f for f in store.state(table).folders if f[1] >= table.buckets]
+    load_table(store, GAME, games(spark, (1, "c", T0 + 20, None)), NOW)
+    after = [f for f in store.state(table).folders if f[1] >= table.buckets]
+    assert set(closed) < set(after)
+    load_table(store, GAME, games(spark, (1, "late", T0 + 5, None)), NOW)
+    rows = store.read(table).where("id = 1").orderBy("_valid_from").collect()
+    assert [r.name for r in rows] == ["a", "late", "b", "c"]
+    assert [r._valid_to for r in rows[:-1]] == [r._valid_from for r in rows[1:]]
+
+
+def test_record_without_version_is_refused(spark, store, tmp_path):
+    source = companies(spark, 5).withColumn("updated_at", F.expr("nullif(updated_at, 1700000003)"))
+    with pytest.raises(Exception, match="a record lacks updated_at"):
+        producer.land(store, COMPANY, source, str(tmp_path), "r", NOW, T0)
+
+
 def test_current_rows_are_pruned_by_partition(spark, store):
     load_table(store, GAME, games(spark, (1, "a", T0, [1]), (1, "b", T0 + 9, [1])), NOW)
-    plan = store.read(GAME.main_table()).where("_is_current")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_is_current" in plan
+    current = store.read(GAME.main_table()).where("_is_current").select("id")
+    plan = spark._jvm.PythonSQLUtils.explainString(current._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[.*_is_current", plan)
+    assert re.search(r"ReadSchema: struct<id:bigint>", plan)
 
 
 def test_junctions_and_main_projection(spark, store):

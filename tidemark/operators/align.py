@@ -81,3 +81,13 @@ def valid_records(frame: DataFrame, *required: str) -> tuple[DataFrame, DataFram
     """Split into records that carry all required fields and those that do not."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
     return frame.where(~missing), frame.where(missing)
+
+
+def require_fields(frame: DataFrame, *required: str) -> DataFrame:
+    """Fail the job that reads a record without one of the required fields; no extra pass."""
+    kinds = {f.name: f.dataType for f in frame.schema}
+    checked = {
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a record lacks {c}")).cast(kinds[c]))
+        for c in required
+    }
+    return frame.withColumns(checked)

@@ -13,7 +13,7 @@ from tidemark.operators.dedup import dedup_records
 from tidemark.operators.history import apply_history, one_per_instant
 from tidemark.operators.merge import insert_absent, upsert
 from tidemark.operators.relations import junctions
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import TableState, TableStore
 from tidemark.spec import TEXT, EntitySpec, TableSpec, T
 
 
@@ -60,11 +60,11 @@ def quarantine_table(spec: EntitySpec) -> TableSpec:
     return TableSpec(f"{spec.table_name}_quarantine", T.StructType(columns), ("record",), spec.buckets)
 
 
-def check_history_mode(store: TableStore, spec: EntitySpec) -> None:
+def check_history_mode(store: TableStore, spec: EntitySpec, state: TableState) -> None:
     """Refuse to start a second table for an entity whose history mode was switched."""
     here = spec.main_table()
     other = spec.base_name if spec.keep_history else f"{spec.base_name}_scd2"
-    if not store.exists(here) and store.exists(TableSpec(other, here.schema, here.keys)):
+    if not state.version and store.exists(TableSpec(other, here.schema, here.keys)):
         raise RuntimeError(f"{other} exists, {here.name} does not: migrate the table, do not switch the mode")
 
 
@@ -82,7 +82,8 @@ def load_table(
     ``on_fault`` is ``fail`` or ``quarantine``. A replay never undoes newer rows.
     ``token`` names the load: a table that carries it already is left alone.
     """
-    check_history_mode(store, spec)
+    state = store.state(spec.main_table())
+    check_history_mode(store, spec, state)
     watch = Observation()
     faulty = F.size("_faults") > 0
     prepared = prepare(raw, spec, ingested_at).observe(
@@ -106,35 +107,61 @@ def load_table(
             )
             store.write(quarantine_table(spec), rejected, "append", token)
         if figures["rows"]:
-            _write_main(store, spec, clean, token, replay)
+            _write_main(store, spec, state, clean, token, replay)
             for list_field in spec.list_fields if not spec.keep_history else ():
                 table = spec.junction_table(list_field)
                 pairs = junctions(clean, spec)[table.name]
-                state = store.state(table)
-                if token not in state.tokens:
-                    known = store.read(table, store.touched(table, pairs), state)
+                before = store.state(table)
+                if token is None or token not in before.tokens:
+                    known = store.read(table, store.touched(table, pairs), before)
                     fresh = insert_absent(known, pairs, list(table.keys))
-                    store.write(table, fresh, "append", token, state)
+                    store.write(table, fresh, "append", token, before)
         return Loaded(seen["read"], figures["rows"], seen["faulty"] or 0, figures["mark"])
     finally:
         clean.unpersist()
 
 
 def _write_main(
-    store: TableStore, spec: EntitySpec, clean: DataFrame, token: str | None, replay: bool
+    store: TableStore,
+    spec: EntitySpec,
+    state: TableState,
+    clean: DataFrame,
+    token: str | None,
+    replay: bool,
 ) -> None:
     table = spec.main_table()
-    state = store.state(table)
-    if token in state.tokens:
+    if token is not None and token in state.tokens:
         return
     staging = main_projection(clean, spec)
     if spec.full_load:
         store.write(table, staging, "replace", token, state)
         return
     touched = store.touched(table, staging)
-    existing = store.read(table, touched, state)
     if spec.keep_history:
-        merged = apply_history(existing, staging, spec.key, spec.version)
-    else:
-        merged = upsert(existing, staging, [spec.key], spec.version if replay else None)
-    store.rewrite(table, merged, touched, token, state)
+        _write_history(store, spec, state, staging, touched, token)
+        return
+    existing = store.read(table, touched, state)
+    merged = upsert(existing, staging, [spec.key], spec.version if replay else None)
+    store.rewrite(table, merged, touched, [], token, state)
+
+
+def _write_history(
+    store: TableStore,
+    spec: EntitySpec,
+    state: TableState,
+    staging: DataFrame,
+    touched: list[int],
+    token: str | None,
+) -> None:
+    """Versions that follow the current one need only the current rows: the row they
+    close is appended to the closed ones. Where a version arrives late, the closed
+    rows of its bucket are read and rewritten as well."""
+    table = spec.main_table()
+    now = store.read(table, touched, state).select(spec.key, F.col(spec.version).alias("_now"))
+    behind = staging.select(spec.key, spec.version).join(now, spec.key).where(F.col(spec.version) < F.col("_now"))
+    late = store.touched(table, behind)
+    closed = [table.buckets + b for b in late]
+    existing = store.read(table, touched + closed, state)
+    merged = apply_history(existing, staging, spec.key, spec.version)
+    appended = [table.buckets + b for b in touched if b not in late]
+    store.rewrite(table, merged, touched + closed, appended, token, state)

@@ -23,6 +23,7 @@ COMMIT = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("kind", T.StringType()),
         T.StructField("buckets", T.ArrayType(T.IntegerType())),
+        T.StructField("added", T.ArrayType(T.IntegerType())),
         T.StructField("token", T.StringType()),
     ]
 )
@@ -31,8 +32,15 @@ COMMIT = T.StructType(
 PLACE = [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())]
 
 
-def bucket_of(keys: tuple[str, ...], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def hash_bucket(table: TableSpec) -> Column:
+    return F.pmod(F.xxhash64(table.keys[0]), F.lit(table.buckets)).cast("int")
+
+
+def bucket_of(table: TableSpec) -> Column:
+    """Folder number of a row: its hash bucket, the second half for rows without the open flag."""
+    if table.open_flag is None:
+        return hash_bucket(table)
+    return hash_bucket(table) + F.when(F.col(table.open_flag), 0).otherwise(table.buckets)
 
 
 @dataclass(frozen=True)
@@ -68,10 +76,9 @@ class TableStore:
             if commit.kind == "replace":
                 folders = {}
             for bucket in commit.buckets:
-                if commit.kind == "append":
-                    folders.setdefault(bucket, []).append(commit.version)
-                else:
-                    folders[bucket] = [commit.version]
+                folders[bucket] = [commit.version]
+            for bucket in commit.added:
+                folders.setdefault(bucket, []).append(commit.version)
         return TableState(
             commits[-1].version if commits else 0,
             tuple((v, b) for b, versions in folders.items() for v in versions),
@@ -116,6 +123,7 @@ class TableStore:
         frame: DataFrame,
         kind: str,
         buckets: list[int],
+        added: list[int],
         token: str | None,
         state: TableState,
     ) -> None:
@@ -123,7 +131,7 @@ class TableStore:
         order = [c for c in (*table.cluster_by, *table.keys) if c not in table.partition_by]
         (
             frame.select(*table.schema.fieldNames())
-            .withColumn("bucket", bucket_of(table.keys[:1], table.buckets))
+            .withColumn("bucket", bucket_of(table))
             # Rebalancing joins small buckets in a task and splits a hot one over several.
             .hint("rebalance", F.col("bucket"))
             .sortWithinPartitions("bucket", *table.partition_by, *order)
@@ -133,18 +141,14 @@ class TableStore:
             .parquet(f"{self.root}/{table.name}/data/version={version}")
         )
         # A second writer with the same version fails here instead of hiding a commit.
-        row = (version, kind, sorted(buckets), token)
+        row = (version, kind, sorted(buckets), sorted(added), token)
         self.spark.createDataFrame([row], COMMIT).coalesce(1).write.mode("errorifexists").json(
             f"{self._commit_folder(table)}/version={version}"
         )
 
     def touched(self, table: TableSpec, frame: DataFrame) -> list[int]:
-        """Buckets a frame falls into: at most as many as the table has."""
-        spread = frame.select(bucket_of(table.keys[:1], table.buckets).alias("b")).distinct()
-        return [r.b for r in spread.collect()]
-
-    def _may_write(self, state: TableState, token: str | None) -> bool:
-        return token is None or token not in state.tokens
+        """Hash buckets a frame falls into: at most as many as the table has."""
+        return [r.b for r in frame.select(hash_bucket(table).alias("b")).distinct().collect()]
 
     def write(
         self,
@@ -161,22 +165,30 @@ class TableStore:
         state = state or self.state(table)
         if mode == "fail" and state.version > 0:
             raise FileExistsError(f"table {table.name} exists")
-        if self._may_write(state, token):
-            kind = "append" if mode == "append" else "replace"
-            self._publish(table, frame, kind, list(range(table.buckets)), token, state)
+        if token is not None and token in state.tokens:
+            return
+        every = list(range(table.buckets * (1 if table.open_flag is None else 2)))
+        if mode == "append":
+            self._publish(table, frame, "change", [], every, token, state)
+        else:
+            self._publish(table, frame, "replace", every, [], token, state)
 
     def rewrite(
         self,
         table: TableSpec,
         frame: DataFrame,
         buckets: list[int],
+        added: list[int],
         token: str | None = None,
         state: TableState | None = None,
     ) -> None:
-        """Publish whole buckets: the frame holds every row of ``buckets`` and no other."""
+        """Replace whole ``buckets`` and append to the ``added`` ones, in one commit.
+
+        The frame holds every row of the first and only new rows of the second.
+        """
         state = state or self.state(table)
-        if self._may_write(state, token):
-            self._publish(table, frame, "bucket", buckets, token, state)
+        if token is None or token not in state.tokens:
+            self._publish(table, frame, "change", buckets, added, token, state)
 
     def compact(self, table: TableSpec) -> None:
         """Rewrite the newest state as one version."""

@@ -64,7 +64,11 @@ def singular(word: str) -> str:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One stored table: schema, key, hash buckets and row order inside files."""
+    """One stored table: schema, key, hash buckets and row order inside files.
+
+    With ``open_flag`` every bucket is kept twice: rows with the flag set, and all
+    others. The first kind can then be rewritten without touching the second.
+    """
 
     name: str
     schema: T.StructType
@@ -72,6 +76,7 @@ class TableSpec:
     buckets: int = 1
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    open_flag: str | None = None
 
 
 @dataclass(frozen=True)
@@ -128,6 +133,7 @@ class EntitySpec:
             self.buckets,
             ("_is_current",) if self.keep_history else (),
             self.cluster_by,
+            "_is_current" if self.keep_history else None,
         )
 
     def junction_columns(self, list_field: str) -> tuple[str, str]:

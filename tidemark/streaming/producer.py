@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import spec as s
-from tidemark.operators.align import valid_records
+from tidemark.operators.align import require_fields
 from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
 from tidemark.sources.pages import land_pages
@@ -20,8 +20,10 @@ from tidemark.streaming.consumer import drain, replay_pending, utc_now
 def delta(source: DataFrame, spec: s.EntitySpec, since: int, until: int | None = None) -> DataFrame:
     """Source records at or past a cursor, up to an end where given; declared fields only."""
     version = F.col(spec.version)
-    picked = source if spec.full_load or not since else source.where(version >= since)
-    picked = picked if until is None else picked.where(version <= until)
+    # A record without a version is kept here, so that it is refused and not lost.
+    unknown = version.isNull()
+    picked = source if spec.full_load or not since else source.where((version >= since) | unknown)
+    picked = picked if until is None else picked.where((version <= until) | unknown)
     return picked.select(*[f for f in spec.fields if f in source.columns])
 
 
@@ -37,10 +39,7 @@ def land(
 ) -> tuple[int, int, int]:
     """Land one delta, log its pages and its schema; returns (records, last version, last id)."""
     begun = time.monotonic()
-    picked = delta(source, spec, since, until)
-    _, broken = valid_records(picked, spec.key, spec.version)
-    if not broken.isEmpty():
-        raise ValueError(f"{spec.name}: a record lacks {spec.key} or {spec.version}")
+    picked = require_fields(delta(source, spec, since, until), spec.key, spec.version)
     pages = land_pages(picked, spec, root, at, 0 if spec.full_load else since)
     total = pages.agg(F.sum("records"), F.max(F.struct("last_version", "last_id"))).first()
     if not total[0]:

@@ -548,7 +548,7 @@ def stream_drain(spark, sf_dir):
     source = d.users(spark, sf_dir)
     staged = history.one_per_instant(source, "id", "updated_at", ["event_id"])
     land_pages(staged, BULK_USER, f"{base}/raw", NOW, s.DEFAULT_START)
-    query_ = consumer.follow(store, d.USER, f"{base}/raw", f"{base}/checkpoint", 4, until_idle=True)
+    query_ = consumer.follow(store, d.USER, f"{base}/raw", f"{base}/checkpoint", until_idle=True)
     query_.awaitTermination()
     return validity(store.read(d.USER.main_table()), "name", "event_id")
 
