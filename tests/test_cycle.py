@@ -285,6 +285,21 @@ def test_override(spark, store):
     assert store.read(s.CHECKPOINTS).first().is_override_active is False
 
 
+def test_failed_micro_batch_is_logged_and_taken_up_again(spark, store, tmp_path):
+    root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
+    day = tmp_path / "raw/companies/year=2026/month=09/day=08"
+    day.mkdir(parents=True)
+    records = [{"id": 1, "name": "a", "updated_at": T0}, {"id": None, "name": "b", "updated_at": T0}]
+    (day / f"{T0}_0.json").write_text(json.dumps(records))
+    with pytest.raises(Exception, match="1 of 2 records unfit"):
+        consumer.drain(store, COMPANY, root, checkpoint)
+    failed = store.read(s.BATCH_LOGS).collect()
+    assert [(f.status, f.records_count) for f in failed] == [("FAILED", 0)]
+    assert not store.exists(COMPANY.main_table()) and not store.exists(s.CHECKPOINTS)
+    consumer.drain(store, COMPANY, root, checkpoint, on_fault="quarantine")
+    assert store.read(COMPANY.main_table()).count() == 1
+
+
 def test_store_modes(spark, store):
     table = s.TableSpec("t", s.record(("id", s.LONG), ("v", s.TEXT)), ("id",), 4)
     one = spark.createDataFrame([(1, "a"), (2, "b")], table.schema)

@@ -36,15 +36,22 @@ def round1(value: Column) -> Column:
     return F.round(value, 1).cast("double")
 
 
+def floor_to(value: Column, width: int) -> Column:
+    """Greatest multiple of ``width`` not above a whole number; exact over the long range."""
+    return value - F.pmod(value, F.lit(width))
+
+
 def epoch_seconds_ntz(ts: Column) -> Column:
     """Whole Unix seconds of a timestamp without zone (floors, also before 1970)."""
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.floor(F.timestamp_diff("MICROSECOND", origin, ts) / F.lit(MICROS)).cast("long")
+    micros = F.timestamp_diff("MICROSECOND", origin, ts)
+    return (floor_to(micros, MICROS) / F.lit(MICROS)).cast("long")
 
 
 def elapsed_seconds(begin: Column, end: Column) -> Column:
     """Seconds between two instants, rounded; null while ``end`` is null."""
-    return F.round(F.timestamp_diff("MICROSECOND", begin, end) / F.lit(MICROS)).cast("long")
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(begin.cast("timestamp"))
+    return F.round(micros / F.lit(MICROS)).cast("long")
 
 
 def hash_text(name: str, dtype: T.DataType) -> Column:

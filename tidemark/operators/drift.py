@@ -10,6 +10,8 @@ from tidemark.spec import EntitySpec
 
 # Batches per window group when the previous batch of a table is looked up.
 SLICE_BATCHES = 100_000
+# Batch ids start at 0.
+BEFORE_FIRST = -1
 
 
 def observed_type(value: Column) -> Column:
@@ -116,25 +118,18 @@ def drift_events(batches: DataFrame, history: DataFrame | None = None) -> DataFr
     ``batches`` has (table_name, batch_id, columns_snapshot, schema_hash). The
     first batch of a table is compared with the last logged snapshot, if any.
     """
+    seen = batches.select("table_name", "batch_id", "schema_hash", "columns_snapshot")
+    if history is not None:
+        # The logged snapshot takes part as the batch before the first one.
+        logged = latest_snapshot(history).withColumn("batch_id", F.lit(BEFORE_FIRST).cast("long"))
+        seen = seen.unionByName(logged.select(*seen.columns))
     linked = with_neighbours(
-        batches,
+        seen,
         ["table_name"],
         "batch_id",
         SLICE_BATCHES,
         previous={"_old_hash": "schema_hash", "_old": "columns_snapshot"},
-    )
-    if history is not None:
-        logged = latest_snapshot(history).select(
-            "table_name",
-            F.col("schema_hash").alias("_logged_hash"),
-            F.col("columns_snapshot").alias("_logged"),
-        )
-        linked = linked.join(F.broadcast(logged), "table_name", "left").withColumns(
-            {
-                "_old": F.coalesce("_old", "_logged"),
-                "_old_hash": F.coalesce("_old_hash", "_logged_hash"),
-            }
-        )
+    ).where(F.col("batch_id") != BEFORE_FIRST)
     return linked.where(~F.col("schema_hash").eqNullSafe(F.col("_old_hash"))).select(
         "table_name",
         "batch_id",

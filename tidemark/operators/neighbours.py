@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.functions.columns import floor_to
+
 
 def with_neighbours(
     frame: DataFrame,
@@ -24,7 +26,7 @@ def with_neighbours(
     row per slice.
     """
     previous, following = dict(previous or {}), dict(following or {})
-    sliced = frame.withColumn("_slice", F.floor(F.col(order) / F.lit(width)).cast("long"))
+    sliced = frame.withColumn("_slice", floor_to(F.col(order), width))
     by_key = Window.partitionBy(*keys).orderBy("_slice")
     inside = Window.partitionBy(*keys, "_slice").orderBy(order)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import DAY_SECONDS
+from tidemark.functions.columns import DAY_SECONDS, floor_to
 from tidemark.spec import OFFSET_ROLLOVER, EntitySpec
 
 # Key range of one cell: a window group holds at most this many distinct keys.
@@ -56,8 +56,8 @@ def ordered_rank(frame: DataFrame, version: str, key: str, name: str = "rank") -
     """
     placed = frame.withColumns(
         {
-            "_day": F.floor(F.col(version) / F.lit(DAY_SECONDS)).cast("long"),
-            "_cell": F.floor(F.col(key) / F.lit(CELL_KEYS)).cast("long"),
+            "_day": floor_to(F.col(version), DAY_SECONDS),
+            "_cell": floor_to(F.col(key), CELL_KEYS),
         }
     )
     cells = placed.groupBy("_day", version, "_cell").agg(F.count(F.lit(1)).alias("_n"))

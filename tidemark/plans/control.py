@@ -58,7 +58,7 @@ def latest_batch(batches: DataFrame) -> DataFrame:
 def latest_snapshot_batches(batches: DataFrame) -> DataFrame:
     """All landed batches of the run that wrote the most recent one, per table."""
     newest = latest_batch(batches).select("table_name", "run_id")
-    return landed(batches).join(F.broadcast(newest), ["table_name", "run_id"], "left_semi")
+    return landed(batches).join(newest, ["table_name", "run_id"], "left_semi")
 
 
 # -- work resolution ---------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.paging import assign_pages, page_bounds
 from tidemark.session import shared_dir
@@ -22,7 +22,7 @@ def loose_schema(spec: EntitySpec) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def with_arrival(frame: DataFrame, spec: EntitySpec) -> DataFrame:
+def with_arrival(frame: DataFrame, spec: EntitySpec, *keep: Column) -> DataFrame:
     """Declared names plus the cursor and offset of the page a record came in."""
     path = F.col("_metadata.file_path")
     return frame.select(
@@ -32,6 +32,7 @@ def with_arrival(frame: DataFrame, spec: EntitySpec) -> DataFrame:
             for i, name in enumerate(ARRIVAL)
         ],
         path.alias("_file"),
+        *keep,
     )
 
 
@@ -56,7 +57,7 @@ def scan_refs(spark: SparkSession, spec: EntitySpec, root: str, refs: DataFrame)
     """
     folder = f"{root}/{spec.path.strip('/')}"
     frame = spark.read.schema(loose_schema(spec)).option("ignoreMissingFiles", "false").json(folder)
-    path = F.col("_metadata.file_path")
+    named = with_arrival(frame, spec, *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")])
     wanted = refs.select(
         F.year("created_at").alias("year"),
         F.month("created_at").alias("month"),
@@ -64,15 +65,6 @@ def scan_refs(spark: SparkSession, spec: EntitySpec, root: str, refs: DataFrame)
         F.col("cursor_value").alias("_cursor"),
         F.col("offset_value").alias("_offset"),
     ).distinct()
-    named = frame.select(
-        *[F.col(spec.source_names.get(f, f)).alias(f) for f in spec.fields],
-        *[
-            F.regexp_extract(path, PAGE_NAME, i + 1).try_cast("long").alias(name)
-            for i, name in enumerate(ARRIVAL)
-        ],
-        path.alias("_file"),
-        *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")],
-    )
     return named.join(wanted, ["year", "month", "day", *ARRIVAL], "left_semi").drop("year", "month", "day")
 
 

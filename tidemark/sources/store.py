@@ -141,10 +141,14 @@ class TableStore:
             .parquet(f"{self.root}/{table.name}/data/version={version}")
         )
         # A second writer with the same version fails here instead of hiding a commit.
-        row = (version, kind, sorted(buckets), sorted(added), token)
-        self.spark.createDataFrame([row], COMMIT).coalesce(1).write.mode("errorifexists").json(
-            f"{self._commit_folder(table)}/version={version}"
-        )
+        numbers = lambda ns: F.array(*map(F.lit, sorted(ns))).cast("array<int>")
+        self.spark.range(1, numPartitions=1).select(
+            F.lit(version).alias("version"),
+            F.lit(kind).alias("kind"),
+            numbers(buckets).alias("buckets"),
+            numbers(added).alias("added"),
+            F.lit(token).alias("token"),
+        ).write.mode("errorifexists").json(f"{self._commit_folder(table)}/version={version}")
 
     def touched(self, table: TableSpec, frame: DataFrame) -> list[int]:
         """Hash buckets a frame falls into: at most as many as the table has."""

@@ -61,22 +61,31 @@ def follow(
         begun = time.monotonic()
         # The id of the stream is new whenever its checkpoint folder is new.
         stream_id = store.spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
-        done = load_table(store, spec, frame, clock(), f"{stream_id}:{batch}", on_fault=on_fault)
         mark = ledger.mark(spec.name, "ANALYTICS", spec.start)
+
+        def log(status: str, rows: int, error: str | None = None) -> None:
+            ledger.log_batch(
+                run_id=stream_id,
+                table_name=spec.name,
+                layer="ANALYTICS",
+                status=status,
+                cursor_value=mark,
+                offset_value=0,
+                records_count=rows,
+                duration_ms=int((time.monotonic() - begun) * 1000),
+                error_message=error,
+                created_at=clock(),
+            )
+
+        try:
+            done = load_table(store, spec, frame, clock(), f"{stream_id}:{batch}", on_fault=on_fault)
+        except Exception as problem:
+            log("FAILED", 0, str(problem))
+            raise
         ledger.checkpoint(
             spec.name, "ANALYTICS", max(mark, done.watermark or mark), clock(), last_batch_id=batch
         )
-        ledger.log_batch(
-            run_id=stream_id,
-            table_name=spec.name,
-            layer="ANALYTICS",
-            status="SUCCESS",
-            cursor_value=mark,
-            offset_value=0,
-            records_count=done.rows,
-            duration_ms=int((time.monotonic() - begun) * 1000),
-            created_at=clock(),
-        )
+        log("SUCCESS", done.rows)
 
     writer = (
         page_stream(store, spec, root, pages)

@@ -68,7 +68,22 @@ def ingest(
         ledger.move_replay(event.event_id, "COMPLETED", at, done)
         landed += done
     since = ledger.mark(spec.name, "RAW", spec.start)
-    done, mark, last_id = land(store, spec, source, root, run_id, at, since)
+    try:
+        done, mark, last_id = land(store, spec, source, root, run_id, at, since)
+    except Exception as problem:
+        ledger.log_batch(
+            run_id=run_id,
+            table_name=spec.name,
+            layer="RAW",
+            status="FAILED",
+            cursor_value=since,
+            offset_value=0,
+            records_count=0,
+            duration_ms=0,
+            error_message=str(problem),
+            created_at=at,
+        )
+        raise
     ledger.checkpoint(spec.name, "RAW", max(since, mark), at, last_id=last_id, run_id=run_id)
     return landed + done
 
