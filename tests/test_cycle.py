@@ -285,6 +285,19 @@ def test_override(spark, store):
     assert store.read(s.CHECKPOINTS).first().is_override_active is False
 
 
+def test_follow_takes_pages_as_they_land(spark, store, tmp_path):
+    root = str(tmp_path / "raw")
+    land_pages(companies(spark, 20), COMPANY, root, NOW, since=T0)
+    query = consumer.follow(store, COMPANY, root, str(tmp_path / "cp"))
+    try:
+        query.processAllAvailable()
+        land_pages(companies(spark, 30, T0 + 100), COMPANY, root, NOW, since=T0 + 100)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert store.read(COMPANY.main_table()).count() == 30
+
+
 def test_failed_micro_batch_is_logged_and_taken_up_again(spark, store, tmp_path):
     root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
     day = tmp_path / "raw/companies/year=2026/month=09/day=08"

@@ -168,10 +168,24 @@ def test_drift_of_payloads(spark):
     assert governance.drift_report(unchanged).first().changes_summary == "Initial Snapshot / Unchanged"
 
 
+def test_report_reads_json_text(spark):
+    texts = [
+        '{"added":["a"],"removed":[],"type_changed":{"x":{"old":"bigint","new":"string"}}}',
+        "not json",
+        None,
+    ]
+    rows = [(i, "T", text, NOW - timedelta(i)) for i, text in enumerate(texts)]
+    history = spark.createDataFrame(rows, "id int, table_name string, changed_columns string, detected_at timestamp")
+    found = [(r.changes_summary, r.data_type) for r in governance.drift_report(history).collect()]
+    nothing = ("Initial Snapshot / Unchanged", "UNCHANGED")
+    assert found == [("+1 col: a | ~1 type: x", "MODIFIED (1)"), nothing, nothing]
+
+
 def test_page_text_profile(spark):
-    pages = spark.createDataFrame([("T", json.dumps([{"id": 1}, {"id": 2, "x": "a"}]))], "t string, page string")
+    texts = [json.dumps([{"id": 1}, {"id": 2, "x": "a"}]), json.dumps({"id": 3})]
+    pages = spark.createDataFrame([("T", t) for t in texts], "t string, page string")
     assert {(r.field, r.type, r.rows) for r in drift.profile_pages(pages, "page", "t").collect()} == {
-        ("id", "bigint", 2),
+        ("id", "bigint", 3),
         ("x", "string", 1),
     }
     declared = drift.declared_profile(pages.select("t"), s.GENRE)

@@ -26,10 +26,25 @@ def profile_records(frame: DataFrame, record: str, *by: str) -> DataFrame:
 
     Null values tell no type and are left out.
     """
-    parsed = frame.select(*by, F.parse_json(record).alias("_v"))
-    fields = parsed.lateralJoin(
-        frame.sparkSession.tvf.variant_explode(F.col("_v").outer())
-    ).select(*by, F.col("key").alias("field"), observed_type(F.col("value")).alias("type"))
+    return _profile(frame.select(*by, F.parse_json(record).alias("_record")), *by)
+
+
+def profile_pages(frame: DataFrame, text: str, *by: str) -> DataFrame:
+    """As :func:`profile_records` for text that is one record or a JSON array of records."""
+    line = F.trim(F.col(text))
+    listed = F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
+    parsed = frame.select(*by, F.parse_json(listed).alias("_page"))
+    explode = frame.sparkSession.tvf.variant_explode
+    return _profile(
+        parsed.lateralJoin(explode(F.col("_page").outer())).select(*by, F.col("value").alias("_record")), *by
+    )
+
+
+def _profile(records: DataFrame, *by: str) -> DataFrame:
+    explode = records.sparkSession.tvf.variant_explode
+    fields = records.lateralJoin(explode(F.col("_record").outer())).select(
+        *by, F.col("key").alias("field"), observed_type(F.col("value")).alias("type")
+    )
     return (
         fields.where(F.col("type") != "void")
         .groupBy(*by, "field", "type")
@@ -37,15 +52,6 @@ def profile_records(frame: DataFrame, record: str, *by: str) -> DataFrame:
     )
 
 
-def profile_pages(frame: DataFrame, text: str, *by: str) -> DataFrame:
-    """As :func:`profile_records` for pages that hold one JSON array of records as text."""
-    parsed = frame.select(*by, F.parse_json(text).alias("_page"))
-    records = parsed.lateralJoin(
-        frame.sparkSession.tvf.variant_explode(F.col("_page").outer())
-    ).select(*by, F.to_json("value").alias("_record"))
-    return profile_records(records, "_record", *by)
-
-
 def snapshots(profile: DataFrame, *by: str) -> DataFrame:
     """One row per batch: map of field to type, and the signature of that map.
 

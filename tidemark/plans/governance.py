@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import elapsed_seconds
+from tidemark.spec import CHANGED_COLUMNS
 
 # How many names a drift summary spells out, and its empty text.
 SUMMARY_NAMES = 3
@@ -85,8 +86,13 @@ def replay_history(events: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def drift_report(history: DataFrame) -> DataFrame:
-    """Schema history, newest first, with readable summaries of each change."""
+    """Schema history, newest first, with readable summaries of each change.
+
+    ``changed_columns`` is a struct or its JSON text; text that is no JSON counts as no change.
+    """
     change = F.col("changed_columns")
+    if dict(history.dtypes)["changed_columns"] == "string":
+        change = F.from_json(change, CHANGED_COLUMNS)
     none = F.array().cast("array<string>")
     added = F.coalesce(change["added"], none)
     removed = F.coalesce(change["removed"], none)

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import spec as s
-from tidemark.operators.drift import drift_events, profile_records, snapshots
+from tidemark.operators.drift import drift_events, profile_pages, snapshots
 from tidemark.operators.merge import insert_absent
 from tidemark.operators.paging import ordered_rank
 from tidemark.plans import control
@@ -171,12 +171,15 @@ class Ledger:
     def log_drift(
         self, records: DataFrame, column: str, entity: s.EntitySpec, run_id: str, at: datetime
     ) -> int:
-        """Profile landed records (JSON text) and log a changed schema; returns rows logged."""
+        """Profile landed lines (a record or an array of records) and log a changed schema.
+
+        Returns the number of rows logged.
+        """
         named = records.select(
             F.lit(entity.name).alias("table_name"), F.lit(0).cast("long").alias("batch_id"), column
         )
         keys = ("table_name", "batch_id")
-        seen = snapshots(profile_records(named, column, *keys), *keys)
+        seen = snapshots(profile_pages(named, column, *keys), *keys)
         history = self.read(s.SCHEMA_HISTORY)
         fresh = drift_events(seen, history)
         last = history.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]

@@ -189,7 +189,7 @@ def diagonal(spark, sf_dir):
 
 @query(
     "dedup_latest", "users",
-    sql="""WITH twice AS (SELECT *, 0 AS "again" FROM users UNION ALL SELECT *, 1 FROM users WHERE name = 'click'),
+    sql="""WITH twice AS (SELECT *, CAST(0 AS BIGINT) AS "again" FROM users UNION ALL SELECT *, 1 FROM users WHERE name = 'click'),
         r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, event_id DESC, "again" DESC) AS n
             FROM twice)
         SELECT id, name, updated_at, event_id, score, "again" FROM r WHERE n = 1""",
