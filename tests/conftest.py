@@ -6,7 +6,7 @@ from tidemark.sources.store import TableStore
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tidemark-tests", 4, **{"spark.sql.shuffle.partitions": "2"})
+    session = local_session("tidemark-tests", 4, **{"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.enabled": "false"})
     yield session
     session.stop()
 

@@ -144,7 +144,7 @@ def batch_progress(batches: DataFrame) -> DataFrame:
 
 
 def checkpoint_upsert(checkpoints: DataFrame, state: DataFrame) -> DataFrame:
-    """Set the progress of (table, layer); only the safety mark stays as it was."""
+    """Set the progress of (table, layer); the safety mark stays unless ``state`` brings one."""
     columns = [
         "current_watermark",
         "last_id",
@@ -154,6 +154,8 @@ def checkpoint_upsert(checkpoints: DataFrame, state: DataFrame) -> DataFrame:
         "is_override_active",
         "updated_at",
     ]
+    if "fallback_watermark" in state.columns:
+        columns.append("fallback_watermark")
     if "is_override_active" not in state.columns:
         state = state.withColumn("is_override_active", F.lit(False))
     return patch_columns(

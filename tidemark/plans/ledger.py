@@ -112,7 +112,7 @@ class Ledger:
             updated_at=at,
         )
         moved = control.checkpoint_upsert(self.read(s.CHECKPOINTS), state)
-        self.store.write(s.CHECKPOINTS, control.safety_mark_upsert(moved, state), "replace")
+        self.store.write(s.CHECKPOINTS, moved, "replace")
 
     def mark(self, table_name: str, layer: str, start: int) -> int:
         """Current watermark of a table, its starting point if there is none."""
