@@ -313,9 +313,14 @@ def test_failed_micro_batch_is_logged_and_taken_up_again(spark, store, tmp_path)
     assert store.read(COMPANY.main_table()).count() == 1
 
 
-def test_store_modes(spark, store):
+def test_store_modes(spark, store, tmp_path):
     table = s.TableSpec("t", s.record(("id", s.LONG), ("v", s.TEXT)), ("id",), 4)
     one = spark.createDataFrame([(1, "a"), (2, "b")], table.schema)
+    # What a writer leaves that broke off: data without a commit, a commit without its file.
+    (tmp_path / "tables/t/commits/version=1/_temporary").mkdir(parents=True)
+    store.write(table, one, "append")
+    store.write(table, one.where("false"), "replace")
+    store = type(store)(spark, str(tmp_path / "other"))
     store.write(table, one, "fail")
     with pytest.raises(FileExistsError):
         store.write(table, one, "fail")

@@ -71,6 +71,8 @@ class TableStore:
         """Newest published state, from the commit files (one short row per commit)."""
         reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
         commits = sorted(reader.json(self._commit_folder(table)).collect(), key=lambda c: c.version)
+        if len({c.version for c in commits}) < len(commits):
+            raise RuntimeError(f"two writers changed {table.name} at once")
         folders: dict[int, list[int]] = {}
         for commit in commits:
             if commit.kind == "replace":
@@ -140,7 +142,7 @@ class TableStore:
             .partitionBy("bucket", *table.partition_by)
             .parquet(f"{self.root}/{table.name}/data/version={version}")
         )
-        # A second writer with the same version fails here instead of hiding a commit.
+        # Appending lets a commit that broke off before its file was published be tried again.
         numbers = lambda ns: F.array(*map(F.lit, sorted(ns))).cast("array<int>")
         self.spark.range(1, numPartitions=1).select(
             F.lit(version).alias("version"),
@@ -148,7 +150,7 @@ class TableStore:
             numbers(buckets).alias("buckets"),
             numbers(added).alias("added"),
             F.lit(token).alias("token"),
-        ).write.mode("errorifexists").json(f"{self._commit_folder(table)}/version={version}")
+        ).write.mode("append").json(f"{self._commit_folder(table)}/version={version}")
 
     def touched(self, table: TableSpec, frame: DataFrame) -> list[int]:
         """Hash buckets a frame falls into: at most as many as the table has."""
