@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_bpe, decontaminate, language_id, license_scan, secret_scan, token_count
+from tidemark.llm import byte_bpe, decontaminate, language_id, license_scan, nearest, secret_scan, simhash, token_count
 
 QUERIES = {
     "op1_license_scans": license_scan.op1,
+    "op2_nearest_neighbours": nearest.op2,
     "op3_decontamination": decontaminate.op3,
     "op4_token_counts": token_count.op4,
     "op5_secret_scans": secret_scan.op5,
     "op6_byte_bpe": byte_bpe.op6,
     "op7_language_id": language_id.op7,
+    "op9_simhash": simhash.op9,
 }
 SQL = {
     "op3_decontamination": decontaminate.OP3_SQL,
