@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontaminate, language_id
+from tidemark.llm import byte_bpe, decontaminate, language_id, secret_scan, simhash
 from tidemark.llm.common import materialise, on_workers, table
 
 
@@ -15,12 +15,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_id.keep_known(docs, language_id.learn_from(docs))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id."""
+    on_workers(spark)
+    return simhash.keep_one(docs, words=4, bits=4)
+
+
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut out of the texts."""
     on_workers(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Values of live, owner-specific credentials are masked; copied examples stay."""
+    return secret_scan.redact(docs)
+
+
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and their digests."""
     on_workers(spark)
@@ -30,7 +41,9 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("language_id", identify_language),
+    ("simhash_near_dedup", drop_near_duplicates),
     ("benchmark_decontamination", remove_benchmark),
+    ("secret_scans", redact_secrets),
     ("byte_bpe", encode_bytes),
 ]
 

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_bpe, decontaminate, language_id, license_scan, nearest, secret_scan, simhash, token_count
+from tidemark.llm import (
+    byte_bpe,
+    decontaminate,
+    fm_dedup,
+    language_id,
+    license_scan,
+    nearest,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_count,
+)
 
 QUERIES = {
     "op1_license_scans": license_scan.op1,
@@ -12,9 +23,12 @@ QUERIES = {
     "op5_secret_scans": secret_scan.op5,
     "op6_byte_bpe": byte_bpe.op6,
     "op7_language_id": language_id.op7,
+    "op8_suffix_array_dedup": suffix_dedup.op8,
     "op9_simhash": simhash.op9,
+    "op10_substring_dedup": fm_dedup.op10,
 }
 SQL = {
     "op3_decontamination": decontaminate.OP3_SQL,
     "op5_secret_scans": secret_scan.OP5_SQL,
+    "op10_substring_dedup": fm_dedup.OP10_SQL,
 }
