@@ -178,32 +178,24 @@ class Classes:
     units: np.ndarray
 
 
-def scan(texts: list[bytes], method: Method) -> Runs:
-    """Runs of all texts of a chunk, a slice at a time."""
+def scan(texts: list[bytes], method: Method) -> tuple[Runs, np.ndarray, np.ndarray]:
+    """Runs of all texts of a chunk, a slice at a time; for words also their hashes and each text's first."""
     parts, at = [NO_RUNS], 0
+    hashed, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
     while at < len(texts):
         size, end = 0, at
         while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_BYTES):
             size += len(texts[end])
             end += 1
-        found = runs(*method.units(texts[at:end]), method.window, method.gram)
+        values, lengths = method.units(texts[at:end])
+        found = runs(values, lengths, method.window, method.gram)
         found.doc += at
+        if method.words:
+            hashed.append(values)
+            counts.append(lengths)
         parts.append(found)
         at = end
-    return joined(parts)
-
-
-def contents(texts: list[bytes], picked: Runs, method: Method) -> list[np.ndarray]:
-    """Units of the picked runs (documents in any order)."""
-    out: list = [None] * len(picked.doc)
-    order = np.argsort(picked.doc, kind="stable")
-    held, values = -1, None
-    for i in order.tolist():
-        doc, first = int(picked.doc[i]), int(picked.first[i])
-        if doc != held:
-            held, values = doc, method.units([texts[doc]])[0]
-        out[i] = values[first : first + int(picked.n[i]) + method.window - 1]
-    return out
+    return joined(parts), np.concatenate(hashed), np.cumsum(np.concatenate(counts))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -289,7 +281,7 @@ class Local:
     def __init__(self, group: pa.Table, notes: pa.Table, method: Method, buckets: int):
         self.ids, self.texts = unpack(group)
         self.notes = {(r["kind"], r["bucket"]): (r["a"], r["b"]) for r in notes.to_pylist()}
-        found = scan(self.texts, method)
+        found, self.values, self.begins = scan(self.texts, method)
         keys, place = distinct_keys(found, buckets)
         recur, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         for bucket, own in by_bucket(keys, buckets):
@@ -310,13 +302,26 @@ class Local:
     def split(self, hot: Runs, method: Method) -> Runs:
         """Hot runs as single windows under the hash of the window."""
         parts = [NO_RUNS]
-        for doc, first, n, values in zip(hot.doc, hot.first, hot.n, contents(self.texts, hot, method)):
-            at = np.arange(n)
+        if not len(hot.doc):
+            return NO_RUNS
+        shipped, lengths = self.content(hot, method), hot.n + method.window - 1
+        for doc, first, n, values in zip(hot.doc, hot.first, hot.n, np.split(shipped, np.cumsum(lengths)[:-1])):
+            values, at = values if method.words else BYTE[values], np.arange(n)
             key = mixed(rolled(prefix(values), at, at + method.window) + np.uint64(1))
             parts.append(Runs(np.full(n, doc), first + at, np.ones(n, np.int64), key, np.zeros(n, np.uint64)))
         return joined(parts)
 
 
+    def content(self, picked: Runs, method: Method) -> np.ndarray:
+        """The windows of runs as they are shipped, one run after another: word hashes or bytes."""
+        size = picked.n + method.window - 1
+        if method.words:
+            start = self.begins[picked.doc] + picked.first
+            return self.values[spread_out(start, start + size)[1]]
+        parts = [self.texts[d][f : f + n] for d, f, n in zip(picked.doc.tolist(), picked.first.tolist(), size.tolist())]
+        return np.frombuffer(b"".join(parts), np.uint8)
+
+
 def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``method.finish`` for every document."""
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
@@ -326,7 +331,7 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
 
     def census(group: pa.Table) -> pa.Table:
         _, texts = unpack(group)
-        found = scan(texts, method)
+        found = scan(texts, method)[0]
         keys, place = distinct_keys(found, chunks)
         if method.by_document:
             order = np.lexsort((found.doc, place))
@@ -369,7 +374,7 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
                 asked = flags(local.notes[WANTED, bucket][0], own.stop - own.start)
                 picked = heads[asked]
                 want, n = bits(asked), picked.n.astype(np.int32).tobytes()
-                units = b"".join(u.tobytes() for u in method_contents(local.texts, picked, method))
+                units = local.content(picked, method).tobytes()
             out.append((bucket, chunk, heads.key.tobytes(), heads.content.tobytes(), local.numbers[own].tobytes(), want, n, units))
         return batch(CLASS, out)
 
@@ -457,16 +462,6 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
     return with_notes(finish, method.schema, results)
 
 
-def method_contents(texts: list[bytes], picked: Runs, method: Method) -> list:
-    """Content as it is shipped: word hashes, or the bytes themselves."""
-    if method.words:
-        return contents(texts, picked, method)
-    return [
-        np.frombuffer(texts[d], np.uint8)[f : f + n + method.window - 1]
-        for d, f, n in zip(picked.doc.tolist(), picked.first.tolist(), picked.n.tolist())
-    ]
-
-
 def spread_out(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All (i, x) with lo[i] <= x < hi[i]."""
     sizes = hi - lo
