@@ -35,8 +35,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and their digests."""
     on_workers(spark)
-    path = public_tokenizers.path(byte_bpe.RANKS)
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, path), path))
+    return byte_bpe.digests(byte_bpe.round_trip(docs, public_tokenizers.path(byte_bpe.RANKS)))
 
 
 STAGES = [

@@ -12,8 +12,8 @@ Defined cases: null and empty texts have no ids and decode to nothing.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
-import uuid
 
 import public_tokenizers
 import regex
@@ -26,6 +26,8 @@ from tidemark.llm.common import map_rows, once, table
 RANKS = "byte_bpe_50k.tiktoken"
 MAX_RANK_BYTES = 64 << 20
 MEMO = 1 << 17
+#: Outside of the mapped bytes, hence unknown to the model.
+BORDER = "\u2400"
 _SHIFT = "".join(chr(0x100 + b) for b in range(256))
 
 
@@ -45,6 +47,11 @@ def mapped(raw: bytes) -> str:
     return raw.decode("latin-1").translate(_SHIFT)
 
 
+def mapped_all(pre_tokens: list[str]) -> str:
+    """Mapped pre-tokens with a border between them."""
+    return BORDER.join([p.encode().decode("latin-1") for p in pre_tokens]).translate(_SHIFT)
+
+
 def _varint(n: int) -> bytes:
     out = bytearray()
     while n > 127:
@@ -95,8 +102,14 @@ class Codec:
                 rest.append(p)
             else:
                 self.memo[p] = [rank]
-        for p, ids in zip(rest, self.pieces.encode([mapped(p.encode()) for p in rest], num_threads=1)):
-            self.memo[p] = ids
+        if rest:
+            # One call for all: the border is the one character no piece holds, so nothing merges across it.
+            border, at = len(self.vocabulary), 0
+            ids = [*self.pieces.encode(mapped_all(rest), num_threads=1), border]
+            for p in rest:
+                end = ids.index(border, at)
+                self.memo[p] = ids[at:end]
+                at = end + 1
 
     def encode(self, text: str) -> list[int]:
         found = self.cut.findall(text)
@@ -114,8 +127,10 @@ class Codec:
 
 
 def _codec(spark, path: str, pattern: str):
-    held = spark.sparkContext.broadcast((load_ranks(path), pattern))
-    key = uuid.uuid4().hex
+    vocabulary = load_ranks(path)
+    held = spark.sparkContext.broadcast((vocabulary, pattern))
+    # The same vocabulary is built once per worker, however many queries use it.
+    key = hashlib.sha256(b"\0".join([pattern.encode(), *vocabulary])).hexdigest()
     return lambda: once(key, lambda: Codec(*held.value))
 
 
@@ -140,6 +155,21 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
     return map_rows(encoded.select("id", "ids"), run, f"id {kind}, ids array<int>, decoded binary", 256)
 
 
+def round_trip(
+    docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """As :func:`decode` of :func:`encode`, in one pass of the same workers."""
+    codec = _codec(docs.sparkSession, path, pattern)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(ids, texts):
+        tokens = [codec().encode(t) for t in texts]
+        return [ids, tokens, [codec().decode(t) for t in tokens]]
+
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+    return map_rows(rows, run, f"id {kind}, ids array<int>, decoded binary", 128)
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         F.col("id").alias("doc_id"),
@@ -150,5 +180,4 @@ def digests(decoded: DataFrame) -> DataFrame:
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    return digests(decode(encode(table(spark, sf_dir, "documents"), path), path))
+    return digests(round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS)))

@@ -81,7 +81,7 @@ def rewrite_rows(
 _HELD: OrderedDict[str, object] = OrderedDict()
 
 
-def once(key: str, make: Callable[[], object], most: int = 4):
+def once(key: str, make: Callable[[], object], most: int = 2):
     """What ``make`` builds, kept in this worker process for later tasks; the oldest of ``most`` goes."""
     if key not in _HELD:
         while len(_HELD) >= most:

@@ -186,18 +186,27 @@ def clean(
     grams = windows(items, size, options.pop("item_id", "item_id"), options.pop("item_text", "text"))
     spans_col = f"spans_{uuid.uuid4().hex}"
     work = docs.withColumn(spans_col, F.array().cast(SPANS))
-    for shard in shards(docs.sparkSession, grams, options.pop("shard_windows", SHARD_WINDOWS)):
 
-        def find(spans, texts, shard=shard, key=uuid.uuid4().hex):
+    def finder(shard):
+        key = uuid.uuid4().hex
+
+        def find(spans, texts):
             scanner = once(key, lambda: Scanner(shard.value))
             split = [words_of(t.encode()) if t else [] for t in texts]
-            return [joined(s, f) for s, f in zip(spans, scanner.hits(split))], [True] * len(texts)
+            return [joined(s, f) for s, f in zip(spans, scanner.hits(split))]
 
-        work = rewrite_rows(work, spans_col, find, (spans_col, text_col))
-    if remove == "documents":
-        return work.where(F.size(spans_col) == 0).drop(spans_col)
+        return find
+
+    last = None
+    for shard in shards(docs.sparkSession, grams, options.pop("shard_windows", SHARD_WINDOWS)):
+        if last is not None:
+            work = rewrite_rows(work, spans_col, lambda s, t, find=last: (find(s, t), [True] * len(t)), (spans_col, text_col))
+        last = finder(shard)
 
     def cut(texts, spans):
+        spans = last(spans, texts)
+        if remove == "documents":
+            return texts, [not s for s in spans]
         return [without_spans(t.encode(), s).decode() if s else t for t, s in zip(texts, spans)], [True] * len(texts)
 
     return rewrite_rows(work, text_col, cut, (text_col, spans_col)).drop(spans_col)

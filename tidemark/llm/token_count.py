@@ -3,16 +3,15 @@
 Offline proof, from the vocabulary alone: no piece holds a word mark after another character, so no
 merge ever crosses from a word into the mark that follows, and a text may be cut there. Every
 vocabulary string of that shape is encoded alone once; those that come back as one token form the
-shortcut set. Pre-tokens in the set count as one; only the others go through the merges, once per
-distinct pre-token and task memory.
+shortcut set. Pre-tokens in the set count as one; only the others go through the merges.
 
 Defined cases: null and empty texts have no tokens. Special strings inside a text are plain text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
 
 import public_tokenizers
 import sentencepiece
@@ -26,7 +25,6 @@ MARK = "▁"
 #: A run of marks and the word behind it.
 PRE_TOKEN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 MAX_MODEL_BYTES = 64 << 20
-MEMO = 1 << 18
 
 
 def load(path: str) -> bytes:
@@ -59,48 +57,37 @@ def whole_tokens(processor) -> set[str]:
 
 
 class Counter:
-    """Counts tokens of texts; the memo only saves time and is emptied when it is full."""
+    """Counts tokens of texts."""
 
     def __init__(self, model: bytes):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.whole = dict.fromkeys(whole_tokens(self.processor), 1)
-        self.memo: dict[str, int] = {}
-
-    def merge(self, pre_tokens: list[str]) -> None:
-        # The library puts the first mark back itself. A lone mark stands for an empty rest, which
-        # the library drops, so it is looked up at the end of a word.
-        base = len(self.processor.encode("a", num_threads=1))
-        lone = [p for p in pre_tokens if p == MARK]
-        rest = [p for p in pre_tokens if p != MARK]
-        for p, ids in zip(rest, self.processor.encode([p[1:] for p in rest], num_threads=1)):
-            self.memo[p] = len(ids)
-        for p in lone:
-            self.memo[p] = len(self.processor.encode("a ", num_threads=1)) - base
+        self.whole = whole_tokens(self.processor)
+        encode = self.processor.encode
+        self.lone = len(encode("a ", num_threads=1)) - len(encode("a", num_threads=1))
+
+    def merge(self, rest: list[str]) -> int:
+        """Tokens of the pre-tokens of a text that are no whole tokens, merged in one call.
+
+        Nothing merges across their borders, so they may stand side by side; marks alone can only be the last.
+        The library puts the first mark back itself.
+        """
+        if rest == [MARK]:
+            return self.lone
+        return len(self.processor.encode("".join(rest)[1:], num_threads=1)) if rest else 0
 
     def count(self, text: str) -> int:
         if not text:
             return 0
         found = PRE_TOKEN.findall(MARK + text.replace(" ", MARK))
-        total, rest = 0, []
-        get = self.whole.get
-        for p in found:
-            if get(p):
-                total += 1
-            else:
-                rest.append(p)
-        new = {p for p in rest if p not in self.memo}
-        if new:
-            if len(self.memo) + len(new) > MEMO:
-                self.memo.clear()
-                new = set(rest)
-            self.merge(list(new))
-        return total + sum(map(self.memo.__getitem__, rest))
+        whole = self.whole
+        rest = [p for p in found if p not in whole]
+        return len(found) - len(rest) + self.merge(rest)
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) per row of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(load(model_path))
-    key = uuid.uuid4().hex
+    raw = load(model_path)
+    model, key = docs.sparkSession.sparkContext.broadcast(raw), hashlib.sha256(raw).hexdigest()
 
     def run(ids, sizes, texts):
         counter = once(key, lambda: Counter(model.value))
