@@ -1,6 +1,7 @@
 """Landing, loading, streaming, replay and the full cycle."""
 
 import json
+import os
 import re
 from dataclasses import replace as changed
 from datetime import datetime, timezone
@@ -95,10 +96,39 @@ def test_replay_keeps_newer_rows(spark, store):
     old = companies(spark, 5)
     new = old.select("id", F.lit("new").alias("name"), (F.col("updated_at") + 10).alias("updated_at"))
     load_table(store, COMPANY, new, NOW)
-    load_table(store, COMPANY, old, NOW, replay=True)
-    assert store.read(COMPANY.main_table()).where("name = 'new'").count() == 5
     load_table(store, COMPANY, old, NOW)
-    assert store.read(COMPANY.main_table()).where("name = 'new'").count() == 0
+    assert store.read(COMPANY.main_table()).where("name = 'new'").count() == 5
+    same = new.withColumn("name", F.lit("again"))
+    load_table(store, COMPANY, same, NOW)
+    assert store.read(COMPANY.main_table()).where("name = 'again'").count() == 5
+
+
+def test_pages_in_any_order_leave_the_newest_version(spark, store, tmp_path):
+    root, small = str(tmp_path / "raw"), changed(COMPANY, page_size=20)
+    versions = spark.range(200).select(
+        (F.col("id") % 20).alias("id"), F.col("id").cast("string").alias("name"), (F.lit(T0) + F.col("id")).alias("updated_at")
+    )
+    land_pages(versions, small, root, NOW, since=T0)
+    for n, file in enumerate(sorted(tmp_path.glob("raw/companies/*/*/*/*/*.json"), key=lambda f: f.parent.name)):
+        os.utime(file, (T0 - n, T0 - n))
+    query = consumer.follow(store, small, root, str(tmp_path / "cp"), pages=2, until_idle=True)
+    query.awaitTermination()
+    rows = store.read(COMPANY.main_table()).collect()
+    assert {(r.id, r.name) for r in rows} == {(i, str(180 + i)) for i in range(20)}
+
+
+def test_follow_replaces_by_whole_snapshots(spark, store, tmp_path):
+    root, small = str(tmp_path / "raw"), changed(GENRE, page_size=20)
+    source = companies(spark, 200)
+    producer.land(store, small, source, root, "run-1", NOW, 0)
+    query = consumer.follow(store, small, root, str(tmp_path / "cp"), pages=4, until_idle=True)
+    query.awaitTermination()
+    assert store.read(GENRE.main_table()).count() == 200
+
+
+def test_reading_a_missing_table_writes_nothing(store, tmp_path):
+    assert not store.exists(COMPANY.main_table()) and store.read(COMPANY.main_table()).count() == 0
+    assert not (tmp_path / "tables").exists()
 
 
 def test_history_in_steps_equals_history_at_once(spark, store, tmp_path):

@@ -12,8 +12,9 @@ from tidemark.functions.columns import date_guard, elapsed_seconds, epoch_year,
 from tidemark.operators import history, merge, paging, quality
 from tidemark.operators.align import align, misfits, stamp, union_diagonal
 from tidemark.operators.dedup import dedup_records
+from tidemark.operators.drift import profile_records
 from tidemark.operators.neighbours import with_neighbours
-from tidemark.operators.relations import attach_names, junctions, lookup_join
+from tidemark.operators.relations import attach_names, junctions
 
 NOW = datetime(2026, 9, 8, 20, tzinfo=timezone.utc)
 
@@ -117,17 +118,18 @@ def test_no_junctions_without_lists(spark):
     assert junctions(frame, s.GAME) == {}
 
 
-def test_names_keep_list_order_on_both_join_ways(spark):
-    rows = [(1, [3, 1, 99, 1]), (2, None), (3, []), (4, [None, 2])]
+def test_names_keep_list_order_and_repeated_keys(spark):
+    rows = [(1, [3, 1, 99, 1]), (2, None), (3, []), (4, [None, 2]), (1, [2]), (1, [2]), (None, [1])]
     frame = spark.createDataFrame(rows, "id long, tags array<long>")
     dim = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id long, name string")
-    expected = {1: ["three", "one", "one"], 2: [], 3: [], 4: ["two"]}
-    for limit in (1 << 20, 0):
-        named = attach_names(frame, "id", {"names": ("tags", dim)}, limit)
-        assert {r.id: r.names for r in named.collect()} == expected
-    many = spark.range(1000).select(F.lit(7).cast("long").alias("k"), "id")
-    few = spark.createDataFrame([(7, "x")], "k long, v string")
-    assert lookup_join(many, few, ["k"], ["id"], limit=0).where("v = 'x'").count() == 1000
+    named = attach_names(frame, "id", {"names": ("tags", dim)}).collect()
+    expected = [(1, ["three", "one", "one"]), (2, []), (3, []), (4, ["two"]), (1, ["two"]), (1, ["two"]), (None, ["one"])]
+    assert sorted(((r.id, r.names) for r in named), key=repr) == sorted(expected, key=repr)
+
+
+def test_malformed_records_are_left_out_of_a_profile(spark):
+    frame = spark.createDataFrame([(1, '{"a": 1}'), (1, '{"a": ')], "batch long, record string")
+    assert [tuple(r) for r in profile_records(frame, "record", "batch").collect()] == [(1, "a", "bigint", 1)]
 
 
 def test_neighbours_match_plain_loops(spark):
@@ -214,7 +216,7 @@ def test_extract(spark):
     source = align(frame, s.COMPANY.schema)
     page = paging.extract(source, s.COMPANY, since=300, limit=900)
     assert page.columns == s.COMPANY.fields
-    assert [r.updated_at for r in page.collect()] == list(range(300, 800))
+    assert [r.updated_at for r in page.collect()] == list(range(300, 1200))
     again = paging.extract(source, s.COMPANY, filters=F.col("id") > 5, sort=("id", "desc"), limit=2, offset=1)
     assert [r.id for r in again.collect()] == [1198, 1197]
     genres = align(frame, s.GENRE.schema)

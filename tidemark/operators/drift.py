@@ -24,16 +24,16 @@ def observed_type(value: Column) -> Column:
 def profile_records(frame: DataFrame, record: str, *by: str) -> DataFrame:
     """Fields and observed types of JSON records with their row counts, per ``by``.
 
-    Null values tell no type and are left out.
+    Null values tell no type and are left out, and so are malformed records.
     """
-    return _profile(frame.select(*by, F.parse_json(record).alias("_record")), *by)
+    return _profile(frame.select(*by, F.try_parse_json(record).alias("_record")), *by)
 
 
 def profile_pages(frame: DataFrame, text: str, *by: str) -> DataFrame:
     """As :func:`profile_records` for text that is one record or a JSON array of records."""
     line = F.trim(F.col(text))
     listed = F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
-    parsed = frame.select(*by, F.parse_json(listed).alias("_page"))
+    parsed = frame.select(*by, F.try_parse_json(listed).alias("_page"))
     explode = frame.sparkSession.tvf.variant_explode
     return _profile(
         parsed.lateralJoin(explode(F.col("_page").outer())).select(*by, F.col("value").alias("_record")), *by

@@ -23,7 +23,8 @@ def extract(
     """One page of a source: declared fields of the records at or past ``since``.
 
     A full-load entity ignores ``since``, and so does 0. Without a sort the order
-    is the version column ascending; equal values follow the key.
+    is the version column ascending; equal values follow the key. Without a limit
+    the page size of the entity holds.
     """
     picked = frame
     if since and not spec.full_load:
@@ -37,7 +38,7 @@ def extract(
     ).orderBy(first, F.col(spec.key).asc())
     if offset:
         picked = picked.offset(offset)
-    return picked.limit(min(limit or spec.page_size, spec.page_size))
+    return picked.limit(spec.page_size if limit is None else limit)
 
 
 def keyset_page(frame: DataFrame, spec: EntitySpec, cursor: int, last_id: int, limit: int) -> DataFrame:

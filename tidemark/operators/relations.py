@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.spec import EntitySpec
 
-# A lookup side is broadcast only below this measured size.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Copies of a larger lookup side, so that a hot id is spread over this many tasks.
-LOOKUP_SALTS = 32
-
-
 def junction_pairs(
     frame: DataFrame, key: str, list_field: str, left: str, right: str, *carry: str
 ) -> DataFrame:
@@ -47,50 +41,27 @@ def tag_counts(frame: DataFrame, list_field: str, tag: str = "tag_id", n: str =
     )
 
 
-def measured_bytes(frame: DataFrame) -> int:
-    """Size of a frame as counted by Spark: text length plus a fixed cost per row."""
-    text = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in frame.columns), F.lit(64))
-    return frame.agg(F.coalesce(F.sum(text), F.lit(0)).cast("long")).first()[0]
-
-
-def lookup_join(
-    many: DataFrame, few: DataFrame, on: list[str], spread: list[str], limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Left join to a lookup with unique keys ``on``.
-
-    Broadcasts the lookup when its measured size allows. Beyond that both sides
-    shuffle with a salt taken from the ``spread`` columns, so that one id held by
-    a large share of the rows lands in many tasks.
-    """
-    if measured_bytes(few) <= limit:
-        return many.join(F.broadcast(few), on, "left")
-    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(LOOKUP_SALTS)).cast("int"))
-    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
-
-
 def attach_names(
-    frame: DataFrame,
-    key: str,
-    lookups: dict[str, tuple[str, DataFrame]],
-    limit: int = BROADCAST_BYTES,
+    frame: DataFrame, key: str, lookups: dict[str, tuple[str, DataFrame]]
 ) -> DataFrame:
     """Add name lists for id lists, in list order; unknown ids are skipped.
 
-    ``lookups`` maps the new column to (id list column, frame of id and name).
-    The input is read once: all lists of a row are exploded together and put back
-    by its key, so a group never exceeds what a single row already held.
+    ``lookups`` maps the new column to (id list column, frame of id and name). Only the key and the
+    id lists are exploded and looked up; the names come back by the same columns, so rows with a
+    repeated key stay apart and no other column of a row is multiplied.
     """
+    lists = list(dict.fromkeys(ids for ids, _ in lookups.values()))
+
     def tagged(label: str, ids: str) -> Column:
         entry = lambda x, i: F.struct(F.lit(label).alias("list"), i.alias("pos"), x.alias("ref"))
         return F.transform(F.coalesce(F.col(ids).cast("array<long>"), F.array().cast("array<long>")), entry)
 
     entries = F.concat(*[tagged(label, ids) for label, (ids, _) in lookups.items()])
-    exploded = frame.withColumn("_ref", F.explode_outer(entries)).select(
-        *frame.columns,
-        F.col("_ref.list").alias("list"),
-        F.col("_ref.pos").alias("pos"),
-        F.col("_ref.ref").alias("ref"),
+    exploded = (
+        frame.select(key, *lists)
+        .distinct()
+        .select(key, *lists, F.explode(entries).alias("_ref"))
+        .select(key, *lists, "_ref.list", "_ref.pos", "_ref.ref")
     )
     names = reduce(
         DataFrame.unionByName,
@@ -101,20 +72,18 @@ def attach_names(
             for label, (_, dim) in lookups.items()
         ],
     )
-    joined = lookup_join(exploded, names, ["list", "ref"], [key, "pos"], limit)
-    rest = [c for c in frame.columns if c != key]
     found = lambda label: F.array_sort(
-        F.collect_list(
-            F.when(
-                (F.col("list") == label) & F.col("_name").isNotNull(),
-                F.struct(F.col("pos"), F.col("_name").alias("name")),
-            )
-        )
+        F.collect_list(F.when(F.col("list") == label, F.struct(F.col("pos"), F.col("_name").alias("name"))))
     )
-    grouped = joined.groupBy(key).agg(
-        F.first(F.struct(*rest)).alias("_row"), *[found(label).alias(label) for label in lookups]
+    named = (
+        exploded.join(names.where(F.col("_name").isNotNull()), ["list", "ref"])
+        .groupBy(key, *lists)
+        .agg(*[found(label).getField("name").alias(f"_names_{label}") for label in lookups])
+        .select(*[F.col(c).alias(f"_of_{c}") for c in (key, *lists)], *[f"_names_{label}" for label in lookups])
     )
-    return grouped.select(
-        *[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in frame.columns],
-        *[F.col(label).getField("name").alias(label) for label in lookups],
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (key, *lists)])
+    none = F.array().cast("array<string>")
+    return frame.join(named, same, "left").select(
+        *[F.col(c) for c in frame.columns],
+        *[F.coalesce(f"_names_{label}", none).alias(label) for label in lookups],
     )

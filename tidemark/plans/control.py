@@ -38,7 +38,7 @@ def batches_after(
 ) -> DataFrame:
     """Batches not consumed yet, in order."""
     picked = landed(batches, table_name).where(F.col("batch_id") > last_batch_id).orderBy("batch_id")
-    return picked.limit(limit) if limit else picked
+    return picked if limit is None else picked.limit(limit)
 
 
 def batches_in_window(
@@ -47,7 +47,7 @@ def batches_in_window(
     """Batches whose cursor lies in (start, end], in order."""
     cursor = F.col("cursor_value")
     picked = landed(batches, table_name).where((cursor > start) & (cursor <= end)).orderBy("batch_id")
-    return picked.limit(limit) if limit else picked
+    return picked if limit is None else picked.limit(limit)
 
 
 def latest_batch(batches: DataFrame) -> DataFrame:

@@ -74,12 +74,12 @@ def load_table(
     raw: DataFrame,
     ingested_at: datetime,
     token: str | None = None,
-    replay: bool = False,
     on_fault: str = "fail",
 ) -> Loaded:
     """Load raw records into the tables of an entity. Loading twice changes nothing.
 
-    ``on_fault`` is ``fail`` or ``quarantine``. A replay never undoes newer rows.
+    ``on_fault`` is ``fail`` or ``quarantine``. An older version never undoes a
+    newer row, so pages may come in any order; of equal versions the later wins.
     ``token`` names the load: a table that carries it already is left alone.
     """
     state = store.state(spec.main_table())
@@ -107,7 +107,7 @@ def load_table(
             )
             store.write(quarantine_table(spec), rejected, "append", token)
         if figures["rows"]:
-            _write_main(store, spec, state, clean, token, replay)
+            _write_main(store, spec, state, clean, token)
             for list_field in spec.list_fields if not spec.keep_history else ():
                 table = spec.junction_table(list_field)
                 pairs = junctions(clean, spec)[table.name]
@@ -127,7 +127,6 @@ def _write_main(
     state: TableState,
     clean: DataFrame,
     token: str | None,
-    replay: bool,
 ) -> None:
     table = spec.main_table()
     if token is not None and token in state.tokens:
@@ -141,7 +140,7 @@ def _write_main(
         _write_history(store, spec, state, staging, touched, token)
         return
     existing = store.read(table, touched, state)
-    merged = upsert(existing, staging, [spec.key], spec.version if replay else None)
+    merged = upsert(existing, staging, [spec.key], spec.version)
     store.rewrite(table, merged, touched, [], token, state)
 
 

@@ -8,9 +8,10 @@ writer per table at a time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.spec import TableSpec
@@ -56,21 +57,22 @@ class TableState:
 class TableStore:
     spark: SparkSession
     root: str
-    _prepared: set[str] = field(default_factory=set, compare=False, repr=False)
 
     # -- state -------------------------------------------------------------------
 
     def _commit_folder(self, table: TableSpec) -> str:
-        folder = f"{self.root}/{table.name}/commits"
-        if table.name not in self._prepared:
-            self.spark.createDataFrame([], COMMIT).write.mode("ignore").json(folder)
-            self._prepared.add(table.name)
-        return folder
+        return f"{self.root}/{table.name}/commits"
 
     def state(self, table: TableSpec) -> TableState:
         """Newest published state, from the commit files (one short row per commit)."""
         reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
-        commits = sorted(reader.json(self._commit_folder(table)).collect(), key=lambda c: c.version)
+        try:
+            rows = reader.json(self._commit_folder(table)).collect()
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []  # nothing was ever published; reading does not change that
+        commits = sorted(rows, key=lambda c: c.version)
         if len({c.version for c in commits}) < len(commits):
             raise RuntimeError(f"two writers changed {table.name} at once")
         folders: dict[int, list[int]] = {}

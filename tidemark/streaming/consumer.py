@@ -21,6 +21,8 @@ from tidemark.sources.store import TableStore
 FOLLOW_PAGES = 10
 DRAIN_PAGES = 50
 FOLLOW_INTERVAL = "1 second"
+# Seconds to wait for the log of a landed snapshot.
+LOG_PATIENCE = 60
 
 
 def utc_now() -> datetime:
@@ -53,7 +55,8 @@ def follow(
     Which pages were consumed is kept in the stream checkpoint and does not
     depend on source timestamps. Tables carry the id of the micro-batch, so one
     that is retried after a failure takes up where it stopped. The checkpoint row
-    is written last.
+    is written last. A full-load entity is replaced by the whole logged snapshot
+    that a new page belongs to, never by the pages of one micro-batch.
     """
     ledger = Ledger(store)
 
@@ -78,6 +81,11 @@ def follow(
             )
 
         try:
+            if spec.full_load:
+                await_log(ledger, spec, frame)
+                done = load_snapshot(store, spec, root, clock(), on_fault)
+                log("SUCCESS", done.rows if done else 0)
+                return
             done = load_table(store, spec, frame, clock(), f"{stream_id}:{batch}", on_fault=on_fault)
         except Exception as problem:
             log("FAILED", 0, str(problem))
@@ -101,7 +109,7 @@ def drain(
 ) -> bool:
     """Consume everything that is unconsumed and return; False if nothing was ever landed."""
     if spec.full_load:
-        return load_snapshot(store, spec, root) is not None
+        return load_snapshot(store, spec, root, on_fault=on_fault) is not None
     try:
         query = follow(store, spec, root, checkpoint, DRAIN_PAGES, until_idle=True, on_fault=on_fault)
     except AnalysisException as problem:
@@ -112,8 +120,21 @@ def drain(
     return True
 
 
+def await_log(ledger: Ledger, spec: s.EntitySpec, frame: DataFrame) -> None:
+    """Wait until all pages of a micro-batch are logged; a snapshot is logged after its last page."""
+    pages = frame.select("_cursor", "_offset").distinct()
+    for _ in range(LOG_PATIENCE):
+        logged = control.landed(ledger.read(s.BATCH_LOGS), spec.name).select(
+            F.col("cursor_value").alias("_cursor"), F.col("offset_value").cast("long").alias("_offset")
+        )
+        if pages.join(logged, ["_cursor", "_offset"], "left_anti").isEmpty():
+            return
+        time.sleep(1)
+    raise RuntimeError(f"pages of {spec.name} landed but were not logged")
+
+
 def load_snapshot(
-    store: TableStore, spec: s.EntitySpec, root: str, at: datetime | None = None
+    store: TableStore, spec: s.EntitySpec, root: str, at: datetime | None = None, on_fault: str = "fail"
 ) -> Loaded | None:
     """Replace a full-load table by all pages of its latest landed snapshot, once per snapshot."""
     ledger = Ledger(store)
@@ -125,7 +146,7 @@ def load_snapshot(
     token = f"snapshot:{newest['run_id']}"
     if token in store.state(spec.main_table()).tokens:
         return None
-    return _load_refs(store, ledger, spec, root, refs, at or utc_now(), token)
+    return _load_refs(store, ledger, spec, root, refs, at or utc_now(), token, on_fault)
 
 
 def _load_refs(
@@ -136,13 +157,14 @@ def _load_refs(
     refs: DataFrame,
     at: datetime,
     token: str,
+    on_fault: str,
 ) -> Loaded:
     require_pages(
         control.batch_refs(refs, spec.path.strip("/")),
         list_pages(store.spark, f"{root}/{spec.path.strip('/')}"),
         spec,
     )
-    done = load_table(store, spec, scan_refs(store.spark, spec, root, refs), at, token)
+    done = load_table(store, spec, scan_refs(store.spark, spec, root, refs), at, token, on_fault=on_fault)
     mark = ledger.mark(spec.name, "ANALYTICS", spec.start)
     last = refs.agg(F.max("batch_id")).first()[0]
     ledger.checkpoint(spec.name, "ANALYTICS", max(mark, done.watermark or mark), at, last_batch_id=last)
@@ -177,7 +199,7 @@ def replay(
         done = 0
         if not pages.isEmpty():
             records = in_window(scan_refs(store.spark, spec, root, pages), spec, start, end)
-            done = load_table(store, spec, records, at, f"replay:{event_id}", replay=True).rows
+            done = load_table(store, spec, records, at, f"replay:{event_id}").rows
     except Exception as problem:
         ledger.move_replay(event_id, "FAILED", at, error=str(problem))
         raise

@@ -12,7 +12,7 @@ from tidemark import spec as s
 from tidemark.operators.align import require_fields
 from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
-from tidemark.sources.pages import land_pages
+from tidemark.sources.pages import PAGE_NAME, land_pages
 from tidemark.sources.store import TableStore
 from tidemark.streaming.consumer import drain, replay_pending, utc_now
 
@@ -91,10 +91,14 @@ def ingest(
 def log_landed_schema(
     store: TableStore, spec: s.EntitySpec, root: str, run_id: str, at: datetime
 ) -> int:
-    """Compare the schema of the pages landed on a day with the last logged one."""
+    """Compare the schema of the pages that a run landed with the last logged one."""
     day = f"{root}/{spec.path.strip('/')}/year={at:%Y}/month={at:%m}/day={at:%d}"
-    lines = store.spark.read.option("recursiveFileLookup", "true").text(day)
-    return Ledger(store).log_drift(lines, "value", spec, run_id, at)
+    ledger = Ledger(store)
+    name = [F.regexp_extract("_metadata.file_path", PAGE_NAME, i).try_cast("long").alias(c) for i, c in ((1, "c"), (2, "o"))]
+    lines = store.spark.read.option("recursiveFileLookup", "true").text(day).select("value", *name)
+    own = control.landed(ledger.read(s.BATCH_LOGS), spec.name).where(F.col("run_id") == run_id)
+    pages = own.select(F.col("cursor_value").alias("c"), F.col("offset_value").cast("long").alias("o"))
+    return ledger.log_drift(lines.join(pages, ["c", "o"], "left_semi"), "value", spec, run_id, at)
 
 
 def run_cycle(

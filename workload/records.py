@@ -72,7 +72,7 @@ def page_stats(spark, sf_dir):
     "extract_page", "activities",
     sql=f"""SELECT id, "user", name, updated_at, score, {MARKS} FROM activities
         WHERE updated_at >= 1704844800 AND name = 'purchase'
-        ORDER BY updated_at, id LIMIT 500 OFFSET 100""",
+        ORDER BY updated_at, id LIMIT 900 OFFSET 100""",
 )
 def extract_page(spark, sf_dir):
     source = d.activities(spark, sf_dir).withColumn("note", F.lit(None).cast("string"))
