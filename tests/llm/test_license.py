@@ -30,3 +30,39 @@ def test_held_out_templates_unknown_class_and_odd_rows(spark, odd_docs):
     assert li.scan(odd_docs, model=model).count() == 0 and li.scan(odd_docs.limit(0), model=model).count() == 0
     notice = spark.createDataFrame([(1, "x\r\nReleased under the MIT License.\nThe MIT released a license"), (1, None)], "doc_id long, text string")
     assert [(r["place"], r["family"]) for r in li.scan(notice, model=model).collect()] == [(1, "mit")]
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+WRAPPED = [
+    ("x\n\n" + GPL + "\n\ny", {(1, "gpl")}),
+    ("# " + GPL.replace("\n", "\r\n# "), {(0, "gpl")}),
+    (GPL.replace("GNU General", "GNU Affero General"), {(0, "agpl")}),
+    ("""This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""", {(0, "lgpl")}),
+    (""" * Licensed under the Apache License,
+ * Version 2.0 (the "License"); you may not use this file.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0""", {(0, "apache")}),
+    ("""Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software and associated documentation files""", {(0, "mit")}),
+    ("Dual: licensed under the Apache License, Version 2.0. Or it is released under the MIT License. Choose one.", {(0, "apache"), (0, "mit")}),
+    ("the house " * 3000 + GPL.replace("\n", " ") + " the house" * 3000 + " Licensed under CC BY-SA 4.0.", {(0, "gpl"), (0, "cc-by-sa")}),
+    ("Permission is hereby granted, free\n\nof charge, to any person\n \nobtaining a copy", set()),
+]
+
+
+def test_wrapped_and_dual_notices(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WRAPPED)], "doc_id long, text string")
+    base = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = li.train(spark, li.paragraphs(base, "doc_id", "text"))
+    got = {}
+    for r in li.scan(docs, model=model).collect():
+        got.setdefault(r["id"], set()).add((r["paragraph"], r["family"]))
+    assert got == {i: want for i, (_, want) in enumerate(WRAPPED) if want}
+    assert [r[0] for r in docs.orderBy("doc_id").select(F.size(li.blocks(F.col("text")))).collect()] == [3, 1, 1, 1, 1, 1, 1, 1, 3]

@@ -1,21 +1,27 @@
 """Licence paragraphs, with DataFrame functions and a trained linear model that runs on the JVM.
 
-A paragraph is a line of a text. Features are the word 1- to 3-grams of the licence templates that
-hold a key word; the logistic regression over their counts is sparse (elastic net). A paragraph
-without a key word has no feature at all and scores as the unknown class, so the key words sift
-paragraphs before anything is counted, without a change of result. A family is reported if
-
-* its calibrated probability passes the limit learned on the half of the examples kept from training
-  (halfway between the surest unknown and the least sure licence, at least one half), and
-* the paragraph holds at least ``containment`` of the word pairs of one of the family's templates.
-
-Training examples are the templates, alone and inside sentences of a bounded sample of the corpus
-(``SAMPLE`` paragraphs, lowest hash first), and that sample itself as unknown. Defined cases: null and empty
+A paragraph is what lies between blank lines; its wrapped lines are read as one run of words. A notice
+is a window of that run, up to ``STRETCH`` times as long as a template, so that words may be put in.
+Each template has windows of its own, hence a paragraph can give several families. Features are the
+word 1- to 3-grams of the licence templates that hold a key word; the logistic regression over their
+counts is sparse (elastic net). A text without a key word has no feature at all and scores as the
+unknown class, so the key words sift texts before anything is counted, without a change of result. A
+family is reported if
+
+* a window holds at least ``containment`` of the word pairs of one of the family's templates, and no
+  overlapping sure window of the family holds a larger part (or the same in fewer words), and
+* the words of that window are guessed as the family, with a calibrated probability that passes the
+  limit learned on the half of the examples kept from training (halfway between the surest unknown and
+  the least sure licence, at least one half).
+
+Training examples are the templates and further wordings, alone and inside sentences of a bounded sample of the corpus
+(``SAMPLE`` lines, lowest hash first), and that sample itself as unknown. Defined cases: null and empty
 texts have no paragraphs; repeated rows are rows of their own; an empty corpus trains on the templates.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import LogisticRegression
@@ -28,6 +34,11 @@ from tidemark.llm.common import table
 SAMPLE = 400
 UNKNOWN = "unknown"
 CONTAINMENT = 0.6
+STRETCH = 2
+#: A line with its line ends, and the line ends that close a paragraph.
+LINE = "[^\\r\\n]+[\\r\\n]*|[\\r\\n]+"
+LINE_END = "(?:\\r\\n|\\n|\\r(?!\\n))"
+BLANK = f"{LINE_END}(?:[^\\S\\r\\n]*{LINE_END})+"
 
 #: Licence families and short forms of their notices, as they are printed.
 TEMPLATES = {
@@ -66,6 +77,15 @@ KEY_WORDS = (
     "licensed", "license", "licenses", "licence", "released", "redistribution", "redistribute", "permission",
     "cc", "gnu", "apache", "mit", "bsd", "mozilla", "commons", "unencumbered", "copyright",
 )
+#: Further wordings to train on: notices that share most words with the template of another family.
+WORDINGS = {
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+    ),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+    ),
+}
 #: Sentences that speak of licences without giving one.
 NOT_NOTICES = (
     "The driver showed a license to the officer.", "He was released under the bridge.", "Permission is needed to enter the house.",
@@ -90,13 +110,13 @@ def grams(ws: Column) -> Column:
     return F.concat(of_size(1), of_size(2), of_size(3))
 
 
-def pairs(ws: Column) -> Column:
-    n = F.size(ws)
-    starts = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(ws, i, 2), "_")))
+def blocks(text: Column) -> Column:
+    """The paragraphs of a text: what lies between blank lines."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda x: x.rlike("\\S"))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, place, line): the lines of every text, of which training draws its sample."""
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "[\\r\\n]+")
     return docs.select(F.col(id_col).alias("id"), F.posexplode(lines).alias("place", "line")).where(F.trim("line") != "")
 
@@ -114,7 +134,7 @@ def examples(spark, lines: DataFrame, rows: int) -> DataFrame:
     unknown = [r["line"] for r in drawn] + list(NOT_NOTICES) * 8
     out = [(UNKNOWN, line, i % 2) for i, line in enumerate(unknown)]
     for family, texts in TEMPLATES.items():
-        for text in texts:
+        for text in (*texts, *WORDINGS.get(family, ())):
             out += [(family, f"{around[i % len(around)]} {text} {around[(i + 1) % len(around)]}" if i > 1 else text, i % 2) for i in range(8)]
     return spark.createDataFrame(out, "family string, line string, fold int")
 
@@ -145,14 +165,15 @@ class Model:
         numbers = lambda values: "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
         table_of = F.expr("map(" + ", ".join(f"'{g}', {numbers(v)}" for g, v in self.weights.items()) + ")")
         known = F.expr("array(" + ", ".join(f"'{g}'" for g in self.weights) + ")")
-        counted = with_words(lines).withColumn("grams", once(F.filter(grams(F.col("ws")), lambda g: F.array_contains(known, g))))
+        split = lines if "ws" in lines.columns else with_words(lines)
+        counted = split.withColumn("grams", once(F.filter(grams(F.col("ws")), lambda g: F.array_contains(known, g))))
         margins = F.aggregate("grams", F.expr(numbers(self.bias)), lambda s, g: F.zip_with(s, table_of[g], lambda x, y: x + y))
         scored = counted.withColumn("margins", once(margins))
         top = F.array_max("margins")
         chance = 1 / F.aggregate("margins", F.lit(0.0), lambda s, x: s + F.exp(x - top))
         guess = F.array(*map(F.lit, self.labels))[F.array_position("margins", top).cast("int") - 1]
         return scored.withColumn("best", once(F.struct(guess.alias("guess"), chance.alias("chance")))).select(
-            *lines.columns, "ws", "best.guess", "best.chance"
+            *split.columns, "best.guess", "best.chance"
         )
 
 
@@ -180,37 +201,101 @@ def train(spark, lines: DataFrame, rows: int = SAMPLE) -> Model:
     return model
 
 
-def confirmed(containment: float) -> Column:
-    """Whether ``own`` holds enough word pairs of a template of the family ``guess``."""
-    entries = []
+def wanted() -> list[tuple[str, int, list[str]]]:
+    """(family, words, distinct word pairs) of every template."""
+    out = []
     for family, texts in sorted(TEMPLATES.items()):
-        split = [[w for w in re.split("[^a-z0-9]+", t.lower()) if w] for t in texts]
-        wanted = [sorted({"_".join(ws[i : i + 2]) for i in range(len(ws) - 1)}) for ws in split]
-        entries += [F.lit(family), F.array(*(F.array(*map(F.lit, w)) for w in wanted))]
-    templates = F.create_map(*entries)[F.col("guess")]
-    return F.exists(templates, lambda want: F.size(F.array_intersect(want, F.col("own"))) >= containment * F.size(want))
+        for text in texts:
+            ws = [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+            out.append((family, len(ws), sorted({"_".join(ws[i : i + 2]) for i in range(len(ws) - 1)})))
+    return out
+
+
+def notices(docs: DataFrame, id_col: str, text_col: str, containment: float) -> DataFrame:
+    """(row, id, paragraph, place, line, family, ws, start, stop, part): windows that hold enough word pairs of a template.
+
+    ``place`` is the line a window starts in, ``line`` the lines it touches, ``ws`` its words, ``part``
+    the share of the template's word pairs in it.
+    """
+    body = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), body.alias("body")).where(F.col("body").rlike(key_pattern()))
+    lines = texts.select(F.monotonically_increasing_id().alias("row"), "id", once(F.regexp_extract_all("body", F.lit(LINE), F.lit(0))).alias("lines"))
+    # Numbers of the lines that a paragraph ends with.
+    closes = lambda x: x.rlike(f"{LINE_END}{{2}}") | ~x.rlike("\\S")
+    numbered = F.transform("lines", lambda x, i: F.when(closes(x), i))
+    placed = F.flatten(F.transform("lines", lambda x, i: F.transform(words(x), lambda w: F.struct(i.alias("line"), w.alias("w")))))
+    read = lines.withColumn("ends", once(F.filter(numbered, lambda i: i.isNotNull()))).withColumn("run", once(placed))
+    known = sorted({pair for _, _, pairs in wanted() for pair in pairs})
+    paired = F.transform(
+        "run",
+        lambda x, i: F.struct(i.alias("at"), x["line"].alias("line"), F.concat(x["w"], F.lit("_"), F.get("run", i + 1)["w"]).alias("pair")),
+    )
+    met = read.withColumn("hits", once(F.filter(paired, lambda h: h["pair"].isin(known))))
+    templates = F.array(*(
+        F.struct(F.lit(family).alias("family"), F.lit(STRETCH * n).alias("span"), F.array(*map(F.lit, pairs)).alias("pairs"),
+                 F.lit(math.ceil(containment * len(pairs))).alias("need"))
+        for family, n, pairs in wanted()
+    ))
+    fitting = F.filter(templates, lambda t: F.size(F.array_intersect(t["pairs"], F.col("hits.pair"))) >= t["need"])
+    tried = met.withColumn("template", F.explode(fitting))
+    span, need = F.col("template.span"), F.col("template.need")
+    own = tried.withColumn("own", once(F.filter("hits", lambda h: F.array_contains(F.col("template.pairs"), h["pair"]))))
+    together = lambda h, x: ~F.exists("ends", lambda e: (e >= h["line"]) & (e < x["line"]))
+    # A window starts with a word pair of the template and ends with the last pair that is new in it.
+    opened = F.transform("own", lambda h, k: F.filter(
+        F.slice("own", k + 1, span), lambda x: (x["at"] - h["at"] <= span - 2) & together(h, x)))
+    fresh = F.transform(opened, lambda win: F.filter(win, lambda x, i: F.array_position(win["pair"], x["pair"]) == i + 1))
+    shaped = F.transform(fresh, lambda win: F.struct(
+        win[0]["at"].alias("start"), (F.element_at(win, -1)["at"] + 1).alias("stop"), win[0]["line"].alias("place"),
+        F.element_at(win, -1)["line"].alias("last"), (F.size(win) / F.size("template.pairs")).alias("part"), F.size(win).alias("n")))
+    windows = own.withColumn("window", F.explode(F.filter(shaped, lambda c: c["n"] >= need)))
+    text = F.transform(
+        F.slice("lines", F.col("window.place") + 1, F.col("window.last") - F.col("window.place") + 1),
+        lambda x: F.regexp_replace(x, "[\\r\\n]+", ""),
+    )
+    ws = F.transform(F.slice("run", F.col("window.start") + 1, F.col("window.stop") - F.col("window.start") + 1), lambda x: x["w"])
+    paragraph = F.size(F.filter("ends", lambda e: e < F.col("window.place")))
+    return windows.select(
+        "row", "id", paragraph.alias("paragraph"), F.col("window.place").alias("place"), F.array_join(text, " ").alias("line"),
+        F.col("template.family").alias("family"), once(ws).alias("ws"), "window.start", "window.stop", "window.part",
+    )
 
 
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None, containment: float = CONTAINMENT
 ) -> DataFrame:
-    """(id, place, line, family, chance): licence paragraphs, confirmed by a template."""
-    lines = paragraphs(docs, id_col, text_col)
-    model = model or train(docs.sparkSession, lines)
-    scored = model.score(lines.where(F.col("line").rlike(key_pattern())))
-    sure = scored.where((F.col("guess") != UNKNOWN) & (F.col("chance") >= model.limit))
-    own = sure.withColumn("own", once(pairs(F.col("ws"))))
-    return own.where(confirmed(containment)).select("id", "place", "line", F.col("guess").alias("family"), "chance")
+    """(id, paragraph, place, line, family, chance): licence notices, found by a template and sure by the model.
+
+    ``place`` is the line a notice starts in and ``line`` the lines it touches; notices of one paragraph
+    have the same number ``paragraph``.
+    """
+    model = model or train(docs.sparkSession, paragraphs(docs, id_col, text_col))
+    scored = model.score(notices(docs, id_col, text_col, containment))
+    sure = scored.where((F.col("guess") == F.col("family")) & (F.col("chance") >= model.limit))
+    found = F.array_sort(F.collect_list(F.struct("start", "stop", "part", "paragraph", "place", "line", "chance")))
+    per_family = sure.groupBy("row", "id", "family").agg(found.alias("found"))
+    words_of = lambda x: x["stop"] - x["start"]
+    beats = lambda y, x: (
+        (y["start"] < x["stop"]) & (x["start"] < y["stop"])
+        & ((y["part"] > x["part"]) | ((y["part"] == x["part"]) & (
+            (words_of(y) < words_of(x)) | ((words_of(y) == words_of(x)) & (y["start"] < x["start"])))))
+    )
+    # Sorted by start, and each start has at most one window per template: what overlaps is near by.
+    reach = max(STRETCH * n for _, n, _ in wanted()) * max(map(len, TEMPLATES.values()))
+    near = lambda i: F.slice("found", F.greatest(i + 1 - reach, F.lit(1)), 2 * reach + 1)
+    best = F.filter("found", lambda x, i: ~F.exists(near(i), lambda y: beats(y, x)))
+    one = per_family.select("id", "family", F.explode(best).alias("x"))
+    return one.select("id", "x.paragraph", "x.place", "x.line", "family", "x.chance")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    """Per document: its paragraphs, licence paragraphs and families."""
+    """Per document: its paragraphs, the paragraphs that hold a licence notice, and the families."""
     docs = table(spark, sf_dir, "documents")
-    found = scan(docs).groupBy("id").agg(
-        F.count("*").alias("n_license"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families")
+    key = F.struct("doc_id", F.xxhash64("text").alias("text"))
+    found = scan(docs.select(key.alias("key"), "text"), "key").groupBy("id").agg(
+        F.countDistinct("paragraph").alias("n_license"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families")
     )
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "[\\r\\n]+")
-    every = docs.select("doc_id", F.size(F.filter(lines, lambda x: F.trim(x) != "")).cast("long").alias("n_paragraphs"))
-    return every.join(found, every["doc_id"].eqNullSafe(found["id"]), "left").select(
+    every = docs.select("doc_id", key.alias("key"), F.size(blocks(F.col("text"))).cast("long").alias("n_paragraphs"))
+    return every.join(found, every["key"].eqNullSafe(found["id"]), "left").select(
         "doc_id", "n_paragraphs", F.coalesce("n_license", F.lit(0)).alias("n_license"), F.coalesce("families", F.lit("")).alias("families")
     )
