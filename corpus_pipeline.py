@@ -28,7 +28,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Values of live, owner-specific credentials are masked; copied examples stay."""
+    """Values of owner-specific credentials are masked, with or without a digit; copied examples stay."""
     return secret_scan.redact(docs)
 
 

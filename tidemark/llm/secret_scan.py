@@ -4,7 +4,8 @@ Base spans come from three patterns, leftmost and without overlap per kind, as c
 Every candidate value is hashed; distinct (value, owner, repository) rows are counted up to the
 owners of a value, each step summed on the map side first. A value that ``example_owners`` or more
 owners share is a copied ``example``; a value of fewer owners that mixes digits with enough different
-characters is ``live``. Both add a span over the value itself; base spans stay.
+characters is ``live``. Both add a span over the value itself; base spans stay. Redaction masks every
+value that is no copied example, whether it looks live or not: credentials need not hold a digit.
 
 Defined cases: null text is empty; a null owner counts as one owner of its own, so does a null
 repository; repeated rows count once per repository; documents without a find are returned too.
@@ -22,6 +23,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "example", "live")
+EXAMPLE, LIVE, OTHER = 3, 4, 5
 LEAST_VALUE = 12
 EXAMPLE_OWNERS = 3
 LIVE_CHARACTERS = 8
@@ -83,11 +85,12 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def judged(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS,
+    repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, others: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents with base spans, (key, added array<struct<start,kind,end,value>>)).
 
-    Both stand on one stored scan of the texts. ``added`` are the example and live spans of a document.
+    Both stand on one stored scan of the texts. ``added`` are the example and live spans of a document,
+    and with ``others`` also the values that are neither, as spans of kind ``OTHER``.
     """
     found = materialise(find(docs, id_col, text_col, owner_col, repository_col), "secrets")
     span = F.col("span")
@@ -97,7 +100,8 @@ def judged(
     ).withColumn("hash", F.sha2(span["value"], 256))
     value = span["value"]
     live = (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_CHARACTERS) & value.rlike("[0-9]")
-    kind = F.when(F.col("owners") >= example_owners, 3).when(live, 4)
+    kind = F.when(F.col("owners") >= example_owners, EXAMPLE).when(live, LIVE)
+    kind = kind.otherwise(OTHER) if others else kind
     added = (
         candidates.select("key", "hash", "span").distinct()
         .join(ownership(candidates), "hash")
@@ -117,20 +121,20 @@ def scan(docs: DataFrame, **options) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, **options) -> DataFrame:
-    """``docs`` with its own columns, the values of live credentials replaced by ``mask``; examples stay."""
-    _, added = judged(docs, text_col=text_col, **options)
-    live = added.select("key", F.filter("added", lambda s: s["kind"] == 4).alias("live")).where(F.size("live") > 0)
+    """``docs`` with its own columns, every found value that is no copied example replaced by ``mask``."""
+    _, added = judged(docs, text_col=text_col, others=True, **options)
+    own = added.select("key", F.filter("added", lambda s: s["kind"] != EXAMPLE).alias("own")).where(F.size("own") > 0)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at, id_at = docs.columns.index(text_col), docs.columns.index(options.get("id_col", "doc_id"))
     work = docs.toDF(*names).withColumn("key", document_key(names[id_at], names[at]))
     body = names[at]
-    masked = F.expr(f"""aggregate(live, named_struct('at', 0, 'out', ''),
+    masked = F.expr(f"""aggregate(own, named_struct('at', 0, 'out', ''),
         (s, x) -> named_struct(
           'at', greatest(s.at, x.end),
           'out', if(x.start >= s.at, concat(s.out, substring({body}, s.at + 1, x.start - s.at), '{mask}'), s.out)),
         s -> concat(s.out, substring({body}, s.at + 1, length({body}))))""")
-    new = F.when(F.col("live").isNotNull(), masked).otherwise(F.col(body))
-    joined = work.join(live, "key", "left").withColumn(body, new)
+    new = F.when(F.col("own").isNotNull(), masked).otherwise(F.col(body))
+    joined = work.join(own, "key", "left").withColumn(body, new)
     return joined.select(*names).toDF(*docs.columns)
 
 
