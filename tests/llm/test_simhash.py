@@ -76,3 +76,13 @@ def test_keep_one(spark, odd_docs):
     assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 4, 6, 7, 8]
     assert [r["text"] for r in rows if r["doc_id"] is None] == ["alone and without an id"]
     assert s.keep_one(odd_docs.limit(0)).count() == 0
+
+
+def test_keep_one_judges_rows_not_ids(spark):
+    a, b = ("one two three four five six seven eight", "alpha beta gamma delta epsilon zeta eta theta")
+    other = "red orange yellow green blue indigo violet black"
+    data = [(5, a), (5, b), (3, b), (7, a), (7, other), (7, other), (None, a), (None, "nine ten eleven twelve thirteen")]
+    kept = s.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(
+        [(5, a), (3, b), (7, other), (None, "nine ten eleven twelve thirteen")], key=repr
+    )

@@ -213,7 +213,8 @@ def near_duplicates(
 def keep_one(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id; columns unchanged.
 
-    Of repeated ids one row stays. Of a group without any id one row stays.
+    Rows are judged by id and fingerprint: a row whose id is repeated goes only if its own group has a smaller
+    id. Of rows of one group with the same id one stays. Of a group without any id one row stays.
     """
     rows, groups = near_duplicates(docs, words, bits, id_col, text_col)
     judged = rows.join(groups, "fp").withColumnRenamed("id", "judged_id")
@@ -221,19 +222,17 @@ def keep_one(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str = "doc_
     flat = docs.toDF(*names)
     key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
     gone = judged.where("judged_id IS NOT NULL AND judged_id != component").select("judged_id").distinct()
-    kept = flat.join(gone, F.col(key) == F.col("judged_id"), "left_anti")
-    odd = judged.where("judged_id = component OR judged_id IS NULL").groupBy("judged_id").agg(F.count("*").alias("n"))
-    odd = odd.where("n > 1 OR judged_id IS NULL").select("judged_id")
+    odd = judged.groupBy("judged_id").agg(F.count("*").alias("n")).where("n > 1 OR judged_id IS NULL").select("judged_id")
     if odd.isEmpty():
-        return kept.toDF(*docs.columns)
+        return flat.join(gone, F.col(key) == F.col("judged_id"), "left_anti").toDF(*docs.columns)
     # Rows that an id cannot tell apart: few, found again by their text.
     same = F.col(key).eqNullSafe(F.col("judged_id"))
-    usual, unusual = kept.join(odd, same, "left_anti"), kept.join(odd, same, "left_semi")
+    usual, unusual = flat.join(gone.union(odd), same, "left_anti"), flat.join(odd, same, "left_semi")
     with_fp = map_rows(
         unusual.select(F.struct(*names), as_bytes(text)), lambda whole, texts: [whole, [fingerprint(t, words) for t in texts]],
         f"doc {flat.schema.simpleString()}, fp long",
     ).join(groups, "fp")
-    one = with_fp.where(F.col(f"doc.{key}").isNotNull() | F.col("component").isNull()).dropDuplicates(["root"])
+    one = with_fp.where(F.col(f"doc.{key}").eqNullSafe(F.col("component"))).dropDuplicates(["root"])
     return usual.unionByName(one.select("doc.*")).toDF(*docs.columns)
 
 
