@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.columns import DAY_SECONDS, floor_to
+from tidemark.session import scratch
 from tidemark.spec import OFFSET_ROLLOVER, EntitySpec
 
-# Key range of one cell: a window group holds at most this many distinct keys.
-CELL_KEYS = 65_536
-
 
 def extract(
     frame: DataFrame,
@@ -48,46 +45,42 @@ def keyset_page(frame: DataFrame, spec: EntitySpec, cursor: int, last_id: int, l
     return frame.where((version >= cursor) & behind).orderBy(version, key).limit(limit)
 
 
-def ordered_rank(frame: DataFrame, version: str, key: str, name: str = "rank") -> DataFrame:
-    """Position of every row in (version, key) order, from 0, without one global sort.
+def numbered(frame: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Position of every row in ``order``, from 0, by one range shuffle.
 
-    Rows are counted per cell (version, key range); running sums over days, over
-    seconds within a day and over cells within a second give each cell its first
-    position. Pairs of version and key are unique.
+    Rows are dealt by ranges of the order columns and sorted within each range. The dealt rows are
+    written to the shared folder, since a range shuffle that is planned twice may draw other bounds;
+    the row count of every range, one small row each, gives the first position of the next. A hot
+    value of the first column is split by the columns behind it.
     """
-    placed = frame.withColumns(
-        {
-            "_day": floor_to(F.col(version), DAY_SECONDS),
-            "_cell": floor_to(F.col(key), CELL_KEYS),
-        }
-    )
-    cells = placed.groupBy("_day", version, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    seconds = cells.groupBy("_day", version).agg(F.sum("_n").alias("_n"))
-    days = seconds.groupBy("_day").agg(F.sum("_n").alias("_n"))
-
-    def before(window) -> Column:
-        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    # The one window without a partition holds a row per calendar day.
-    day_starts = days.select("_day", before(Window.orderBy("_day")).alias("_a"))
-    second_starts = seconds.select(
-        "_day", version, before(Window.partitionBy("_day").orderBy(version)).alias("_b")
-    ).join(day_starts, "_day")
-    starts = (
-        cells.select(
-            "_day", version, "_cell", before(Window.partitionBy("_day", version).orderBy("_cell")).alias("_c")
-        )
-        .join(second_starts, ["_day", version])
-        .select(version, "_cell", (F.col("_a") + F.col("_b") + F.col("_c")).alias("_start"))
+    spark = frame.sparkSession
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # The upper bits of the id hold the range, the lower 33 the place within.
+    dealt = (
+        frame.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id())
     )
-    in_cell = F.row_number().over(Window.partitionBy(version, "_cell").orderBy(key))
+    path = scratch(spark, "numbered")
+    dealt.write.parquet(path)
+    written = spark.read.schema(dealt.schema).parquet(path)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range, so that neither the window nor the broadcast grows with the rows.
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
     return (
-        placed.join(starts, [version, "_cell"])
-        .withColumn(name, (F.col("_start") + in_cell - 1).cast("long"))
-        .select(*frame.columns, name)
+        written.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .select(*frame.columns, (F.col("_start") + place).cast("long").alias(name))
     )
 
 
+def ordered_rank(frame: DataFrame, version: str, key: str, name: str = "rank") -> DataFrame:
+    """Position of every row in (version, key) order, from 0. Pairs of version and key are unique."""
+    return numbered(frame, [F.col(version).asc_nulls_last(), F.col(key).asc_nulls_last()], name)
+
+
 def assign_pages(frame: DataFrame, spec: EntitySpec) -> DataFrame:
     """Add ``page_no``: rows in (version, key) order, ``page_size`` to a page."""
     ranked = ordered_rank(frame, spec.version, spec.key, "_rank")
