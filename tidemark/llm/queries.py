@@ -5,7 +5,9 @@ from __future__ import annotations
 from tidemark.llm import (
     byte_bpe,
     decontaminate,
+    filter_audit,
     fm_dedup,
+    importance,
     language_id,
     license_scan,
     nearest,
@@ -26,9 +28,13 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8,
     "op9_simhash": simhash.op9,
     "op10_substring_dedup": fm_dedup.op10,
+    "op11_filter_audit": filter_audit.op11,
+    "op12_importance_resampling": importance.op12,
 }
 SQL = {
     "op3_decontamination": decontaminate.OP3_SQL,
     "op5_secret_scans": secret_scan.OP5_SQL,
     "op10_substring_dedup": fm_dedup.OP10_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_importance_resampling": importance.OP12_SQL,
 }
