@@ -15,6 +15,7 @@ from tidemark.llm import (
     simhash,
     suffix_dedup,
     token_count,
+    toxicity,
 )
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_substring_dedup": fm_dedup.op10,
     "op11_filter_audit": filter_audit.op11,
     "op12_importance_resampling": importance.op12,
+    "op13_toxicity": toxicity.op13,
 }
 SQL = {
     "op3_decontamination": decontaminate.OP3_SQL,
