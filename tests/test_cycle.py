@@ -2,10 +2,10 @@
 
 import json
 import os
-import re
 from dataclasses import replace as changed
 from datetime import datetime, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,8 +15,7 @@ from tidemark.plans.load import DataQualityError, load_table
 from tidemark.sources.pages import land_pages, missing_pages, list_pages, scan_pages, scan_refs
 from tidemark.streaming import consumer, producer
 
-# Few buckets: every file costs more than its rows here.
-COMPANY, GAME, GENRE = (changed(e, buckets=2) for e in (s.COMPANY, s.GAME, s.GENRE))
+COMPANY, GAME, GENRE = s.COMPANY, s.GAME, s.GENRE
 NOW = datetime(2026, 9, 8, 20, tzinfo=timezone.utc)
 T0 = 1_700_000_000
 
@@ -38,8 +37,9 @@ def test_landed_pages_read_back_whole(spark, tmp_path):
     assert found == {(T0, 0): 500, (T0, 500): 500, (T0, 1000): 201}
     back = scan_pages(spark, COMPANY, f"{root}/companies")
     assert back.count() == 1201
-    assert (tmp_path / "companies/year=2026/month=09/day=08" / f"page={T0}_500").is_dir()
-    one = scan_pages(spark, COMPANY, f"{root}/companies/year=2026/month=09/day=08/page={T0}_500")
+    day = tmp_path / "companies/year=2026/month=09/day=08"
+    assert {f.name for f in day.iterdir()} == {f"{T0}_{o}.json" for o in (0, 500, 1000)}
+    one = scan_pages(spark, COMPANY, f"{day}/{T0}_500.json")
     assert {(r._cursor, r._offset) for r in one.collect()} == {(T0, 500)}
     assert one.count() == 500
 
@@ -109,7 +109,7 @@ def test_pages_in_any_order_leave_the_newest_version(spark, store, tmp_path):
         (F.col("id") % 20).alias("id"), F.col("id").cast("string").alias("name"), (F.lit(T0) + F.col("id")).alias("updated_at")
     )
     land_pages(versions, small, root, NOW, since=T0)
-    for n, file in enumerate(sorted(tmp_path.glob("raw/companies/*/*/*/*/*.json"), key=lambda f: f.parent.name)):
+    for n, file in enumerate(sorted(tmp_path.glob("raw/companies/*/*/*/*.json"))):
         os.utime(file, (T0 - n, T0 - n))
     query = consumer.follow(store, small, root, str(tmp_path / "cp"), pages=2, until_idle=True)
     query.awaitTermination()
@@ -145,18 +145,51 @@ def test_history_in_steps_equals_history_at_once(spark, store, tmp_path):
     assert stepwise[0]._valid_to == stepwise[1]._valid_from
 
 
-def test_closed_rows_are_only_rewritten_for_late_versions(spark, store):
+def test_late_versions_slot_in(spark, store):
     table = GAME.main_table()
-    for row in ((1, "a", T0, None), (1, "b", T0 + 9, None), (2, "x", T0, None)):
+    for row in ((1, "a", T0, None), (1, "b", T0 + 9, None), (2, "x", T0, None), (1, "late", T0 + 5, None)):
         load_table(store, GAME, games(spark, row), NOW)
-    closed = [f for f in store.state(table).folders if f[1] >= table.buckets]
-    load_table(store, GAME, games(spark, (1, "c", T0 + 20, None)), NOW)
-    after = [f for f in store.state(table).folders if f[1] >= table.buckets]
-    assert set(closed) < set(after)
-    load_table(store, GAME, games(spark, (1, "late", T0 + 5, None)), NOW)
     rows = store.read(table).where("id = 1").orderBy("_valid_from").collect()
-    assert [r.name for r in rows] == ["a", "late", "b", "c"]
+    assert [r.name for r in rows] == ["a", "late", "b"]
     assert [r._valid_to for r in rows[:-1]] == [r._valid_from for r in rows[1:]]
+    assert {(r.id, r.name) for r in store.current(table).collect()} == {(1, "b"), (2, "x")}
+
+
+def files_of(folder):
+    return [f for f in folder.rglob("*.parquet") if "_staged" not in str(f)]
+
+
+def rows_in(folder):
+    return sum(pq.read_metadata(f).num_rows for f in files_of(folder))
+
+
+@pytest.mark.parametrize("spec", [s.COMPANY, changed(s.COMPANY, keep_history=True)])
+def test_a_load_writes_its_own_rows_only(spark, store, tmp_path, spec):
+    load_table(store, spec, companies(spark, 5000), NOW)
+    folder = tmp_path / "tables" / spec.main_table().name
+    before, held = set(files_of(folder)), rows_in(folder)
+    load_table(store, spec, companies(spark, 3, T0 + 9000), NOW)
+    assert before < set(files_of(folder)) and rows_in(folder) == held + 3
+    assert store.read(spec.main_table()).where(f"updated_at >= {T0 + 9000}").count() == 3
+
+
+@pytest.mark.parametrize("spec", [s.COMPANY, s.GAME, changed(s.GAME, path="bundles", name="Bundle", keep_history=False)])
+def test_fold_changes_no_result(spark, store, tmp_path, spec):
+    rows = [(1, "a", T0, [1]), (2, "x", T0 + 5, None), (1, "b", T0 + 100, [2]), (1, "late", T0 + 50, [3])]
+    tables = [spec.main_table(), *([spec.junction_table("genres")] if spec.list_fields and not spec.keep_history else [])]
+
+    def state():
+        return [sorted(store.read(t).drop("_ingested_at", "_hash").collect(), key=repr) for t in tables]
+
+    for row in rows[:3]:
+        load_table(store, spec, games(spark, row).select(*[c for c in ("id", "name", "updated_at", "genres") if c in spec.fields]), NOW)
+    before = state()
+    for t in tables:
+        store.fold(t)
+        assert len(store.parts(t)) == 1
+    assert state() == before
+    load_table(store, spec, games(spark, rows[3]).select(*[c for c in ("id", "name", "updated_at", "genres") if c in spec.fields]), NOW)
+    assert store.read(tables[0]).where("id = 1").count() == (3 if spec.keep_history else 1)
 
 
 def test_record_without_version_is_refused(spark, store, tmp_path):
@@ -165,14 +198,6 @@ def test_record_without_version_is_refused(spark, store, tmp_path):
         producer.land(store, COMPANY, source, str(tmp_path), "r", NOW, T0)
 
 
-def test_current_rows_are_pruned_by_partition(spark, store):
-    load_table(store, GAME, games(spark, (1, "a", T0, [1]), (1, "b", T0 + 9, [1])), NOW)
-    current = store.read(GAME.main_table()).where("_is_current").select("id")
-    plan = spark._jvm.PythonSQLUtils.explainString(current._jdf.queryExecution(), "formatted")
-    assert re.search(r"PartitionFilters: \[.*_is_current", plan)
-    assert re.search(r"ReadSchema: struct<id:bigint>", plan)
-
-
 def test_junctions_and_main_projection(spark, store):
     spec = changed(GAME, path="bundles", name="Bundle", keep_history=False)
     load_table(store, spec, games(spark, (1, "a", T0, [3, 3, None, 4]), (2, "b", T0, [])), NOW)
@@ -344,10 +369,11 @@ def test_failed_micro_batch_is_logged_and_taken_up_again(spark, store, tmp_path)
 
 
 def test_store_modes(spark, store, tmp_path):
-    table = s.TableSpec("t", s.record(("id", s.LONG), ("v", s.TEXT)), ("id",), 4)
+    table = s.TableSpec("t", s.record(("id", s.LONG), ("v", s.TEXT)), ("id",))
     one = spark.createDataFrame([(1, "a"), (2, "b")], table.schema)
-    # What a writer leaves that broke off: data without a commit, a commit without its file.
-    (tmp_path / "tables/t/commits/version=1/_temporary").mkdir(parents=True)
+    # What a writer leaves that broke off: rows that were never published.
+    store.stage(table, one)
+    assert not store.exists(table) and store.read(table).count() == 0
     store.write(table, one, "append")
     store.write(table, one.where("false"), "replace")
     store = type(store)(spark, str(tmp_path / "other"))
@@ -356,8 +382,8 @@ def test_store_modes(spark, store, tmp_path):
         store.write(table, one, "fail")
     store.write(table, one, "append")
     assert store.read(table).count() == 4
-    store.compact(table)
-    assert store.read(table).count() == 4
+    store.fold(table)
+    assert store.read(table).count() == 4 and len(store.parts(table)) == 1
     store.write(table, one.limit(1), "replace")
     assert store.read(table).count() == 1
     store.write(table, one.where("id > 9"), "replace")

@@ -6,24 +6,22 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.dedup import latest_per_key
+
 
 def upsert(
     target: DataFrame, staging: DataFrame, keys: list[str], newer_by: str | None = None
 ) -> DataFrame:
-    """Rows of ``staging`` replace rows of ``target`` with the same key.
+    """Rows of ``staging`` replace rows of ``target`` with the same key, by one aggregate over both.
 
-    ``staging`` has unique keys. With ``newer_by`` a staged row that is older
-    than the stored one is left out, so that a replay cannot undo newer state.
+    Either side has unique keys, none of them null. With ``newer_by`` a staged row that is older than
+    the stored one is left out, so that a replay cannot undo newer state.
     """
-    if newer_by is not None:
-        stored = target.select(*keys, F.col(newer_by).alias("_stored"))
-        staging = (
-            staging.join(stored, keys, "left")
-            .where(F.col("_stored").isNull() | (F.col(newer_by) >= F.col("_stored")))
-            .drop("_stored")
-        )
-    kept = target.join(staging.select(*keys), keys, "left_anti")
-    return kept.unionByName(staging.select(*target.columns))
+    both = target.withColumn("_staged", F.lit(False)).unionByName(
+        staging.select(*target.columns).withColumn("_staged", F.lit(True))
+    )
+    order = ["_staged"] if newer_by is None else [newer_by, "_staged"]
+    return latest_per_key(both, keys, order, drop=("_staged",))
 
 
 def insert_absent(target: DataFrame, staging: DataFrame, keys: list[str]) -> DataFrame:

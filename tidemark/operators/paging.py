@@ -45,35 +45,43 @@ def keyset_page(frame: DataFrame, spec: EntitySpec, cursor: int, last_id: int, l
     return frame.where((version >= cursor) & behind).orderBy(version, key).limit(limit)
 
 
-def numbered(frame: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+def numbered(
+    frame: DataFrame, order: list[Column], name: str = "rank", evaluated: bool = False
+) -> DataFrame:
     """Position of every row in ``order``, from 0, by one range shuffle.
 
     Rows are dealt by ranges of the order columns and sorted within each range. The dealt rows are
     written to the shared folder, since a range shuffle that is planned twice may draw other bounds;
-    the row count of every range, one small row each, gives the first position of the next. A hot
-    value of the first column is split by the columns behind it.
+    the row counts of the ranges, one number each, give the first position of every range. A hot
+    value of the first column is split by the columns behind it. Drawing the bounds reads the rows
+    once more, so they are written first, unless they are ``evaluated`` (read from files) already:
+    the plan behind ``frame`` runs once.
     """
     spark = frame.sparkSession
+
+    def written(rows: DataFrame, label: str) -> DataFrame:
+        path = scratch(spark, label)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    rows = frame if evaluated else written(frame, "unnumbered")
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # The upper bits of the id hold the range, the lower 33 the place within.
     dealt = (
-        frame.repartitionByRange(ranges, *order)
+        rows.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    path = scratch(spark, "numbered")
-    dealt.write.parquet(path)
-    written = spark.read.schema(dealt.schema).parquet(path)
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    counts = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range, so that neither the window nor the broadcast grows with the rows.
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    return (
-        written.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .select(*frame.columns, (F.col("_start") + place).cast("long").alias(name))
-    )
+    dealt = written(dealt, "numbered")
+    part, place = F.shiftright("_at", 33).cast("int"), F.col("_at").bitwiseAND((1 << 33) - 1)
+    # One number per range, as many as there are shuffle partitions, whatever the number of rows.
+    counts = {r["part"]: r["n"] for r in dealt.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, before = [], 0
+    for at in range(ranges):
+        starts.append(before)
+        before += counts.get(at, 0)
+    first = F.get(F.lit(starts).cast("array<long>"), part)
+    return dealt.select(*frame.columns, (first + place).cast("long").alias(name))
 
 
 def ordered_rank(frame: DataFrame, version: str, key: str, name: str = "rank") -> DataFrame:
@@ -82,9 +90,9 @@ def ordered_rank(frame: DataFrame, version: str, key: str, name: str = "rank") -
 
 
 def assign_pages(frame: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Add ``page_no``: rows in (version, key) order, ``page_size`` to a page."""
+    """Add ``_rank`` and ``page_no``: rows in (version, key) order, ``page_size`` to a page."""
     ranked = ordered_rank(frame, spec.version, spec.key, "_rank")
-    return ranked.withColumn("page_no", F.floor(F.col("_rank") / spec.page_size).cast("long")).drop("_rank")
+    return ranked.withColumn("page_no", F.floor(F.col("_rank") / spec.page_size).cast("long"))
 
 
 def page_stats(frame: DataFrame, version: str, key: str, *by: str) -> DataFrame:
@@ -103,7 +111,7 @@ def page_stats(frame: DataFrame, version: str, key: str, *by: str) -> DataFrame:
 
 
 def page_bounds(paged: DataFrame, spec: EntitySpec, since: int) -> DataFrame:
-    """Page table with the (cursor, offset) pair that names each page.
+    """Page table with the (cursor, offset) pair that names each page, from rows of ``assign_pages``.
 
     The offset grows by a page until the rollover; then the cursor moves to the
     last version seen and the offset starts again. While more rows share one
@@ -111,18 +119,18 @@ def page_bounds(paged: DataFrame, spec: EntitySpec, since: int) -> DataFrame:
     goes on growing: no two pages share a name.
     """
     per_group = max(1, OFFSET_ROLLOVER // spec.page_size)
+    rows = per_group * spec.page_size
     pages = page_stats(paged, spec.version, spec.key, "page_no").withColumn(
         "_group", F.floor(F.col("page_no") / per_group).cast("long")
     )
-    turned = pages.groupBy("_group").agg(F.max("last_version").alias("_last"))
-    cursors = (
-        turned.select("_group")
-        .join(turned.select((F.col("_group") + 1).alias("_group"), "_last"), "_group", "left")
-        .select("_group", F.coalesce("_last", F.lit(since)).cast("long").alias("cursor"))
+    # The rows before each rollover name the cursor of the next group: one row in thousands.
+    turns = paged.where((F.col("_rank") + 1) % rows == 0).select(
+        F.floor((F.col("_rank") + 1) / rows).cast("long").alias("_group"),
+        F.col(spec.version).cast("long").alias("cursor"),
     )
-    bases = cursors.groupBy("cursor").agg(F.min("_group").alias("_base"))
-    named = cursors.join(bases, "cursor")
-    return pages.join(named, "_group").select(
+    start = paged.sparkSession.range(1).select("id", F.lit(since).cast("long").alias("cursor"))
+    cursors = turns.union(start).withColumn("_base", F.min("_group").over(Window.partitionBy("cursor")))
+    return pages.join(cursors, "_group").select(
         "page_no",
         "cursor",
         ((F.col("page_no") - F.col("_base") * per_group) * spec.page_size).cast("long").alias("offset"),

@@ -50,6 +50,15 @@ def batches_in_window(
     return picked if limit is None else picked.limit(limit)
 
 
+def pages_overlapping(batches: DataFrame, table_name: str, start: int, end: int) -> DataFrame:
+    """Landed pages whose records may lie in [start, end], by the least and greatest version logged.
+
+    Pages logged without these are judged by their cursor: a page holds no version below it.
+    """
+    known = (F.col("last_version") >= start) & (F.col("first_version") <= end)
+    return landed(batches, table_name).where(F.coalesce(known, F.col("cursor_value") <= end))
+
+
 def latest_batch(batches: DataFrame) -> DataFrame:
     """The most recent landed batch of every table."""
     return latest_per_key(landed(batches), ["table_name"], ["created_at", "batch_id"])

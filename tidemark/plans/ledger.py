@@ -1,4 +1,9 @@
-"""The control tables as stored state: every method is one update of one table."""
+"""The control tables as stored state.
+
+Every method appends rows that say what became known: no row is rewritten, nothing is read to choose
+an id, and what a table holds follows from all rows when it is read. So any number of streams and
+runs may use one set of control tables at once.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +18,21 @@ from tidemark.operators.drift import drift_events, profile_pages, snapshots
 from tidemark.operators.merge import insert_absent
 from tidemark.operators.paging import ordered_rank
 from tidemark.plans import control
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import TableStore, moment
+
+# Fixed value: microseconds up to the start of the ids.
+ID_EPOCH = s.DEFAULT_START * 1_000_000
+# Places behind each microsecond, for rows that are logged together.
+ID_BITS = 10
+
+
+def first_id() -> int:
+    """Where the ids of the next rows begin: later rows get greater ids, without a look at the log.
+
+    Rows logged together count on from here. Writers that hit upon the same number still differ by
+    their run, which is part of the key.
+    """
+    return (moment() - ID_EPOCH) << ID_BITS
 
 
 @dataclass(frozen=True)
@@ -27,9 +46,6 @@ class Ledger:
         row = tuple(values.get(n) for n in table.schema.fieldNames())
         return self.store.spark.createDataFrame([row], table.schema)
 
-    def _patch(self, schema: str, *row) -> DataFrame:
-        return self.store.spark.createDataFrame([row], schema)
-
     # -- runs --------------------------------------------------------------------
 
     def start_run(self, layer: str, at: datetime, run_id: str | None = None) -> str:
@@ -39,19 +55,18 @@ class Ledger:
         return run_id
 
     def finish_run(self, run_id: str, status: str, at: datetime, error: str | None = None) -> None:
-        outcome = self._patch(
-            "run_id string, status string, error_message string, completed_at timestamp",
-            run_id, status, error, at,
+        self.store.write(
+            s.RUNS, self._frame(s.RUNS, run_id=run_id, status=status, error_message=error, completed_at=at)
         )
-        self.store.write(s.RUNS, control.complete_runs(self.read(s.RUNS), outcome), "replace")
 
     def recover_orphans(self, at: datetime, reason: str = control.ORPHAN_REASON) -> int:
         """Close dangling runs and return how many there were."""
-        runs = self.read(s.RUNS)
-        dangling = runs.where(F.col("status") == "RUNNING").count()
-        if dangling:
-            self.store.write(s.RUNS, control.fail_orphan_runs(runs, at, reason), "replace")
-        return dangling
+        dangling = self.read(s.RUNS).where(F.col("status") == "RUNNING")
+        closed = control.fail_orphan_runs(dangling, at, reason).checkpoint()
+        found = closed.count()
+        if found:
+            self.store.write(s.RUNS, closed)
+        return found
 
     # -- batches -----------------------------------------------------------------
 
@@ -59,12 +74,12 @@ class Ledger:
         self, pages: DataFrame, entity: s.EntitySpec, run_id: str, at: datetime, elapsed_ms: int, query: str
     ) -> None:
         """Log landed pages (cursor, offset, records, last_version, last_id), ids going on in page order."""
-        last = self.read(s.BATCH_LOGS).agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
+        first = first_id()
         ranked = ordered_rank(pages, "last_version", "last_id", "_rank")
         self.store.write(
             s.BATCH_LOGS,
             ranked.select(
-                (F.col("_rank") + F.lit(last + 1)).alias("batch_id"),
+                (F.col("_rank") + F.lit(first)).alias("batch_id"),
                 F.lit(run_id).alias("run_id"),
                 F.lit(entity.name).alias("table_name"),
                 F.lit("RAW").alias("layer"),
@@ -76,13 +91,14 @@ class Ledger:
                 F.lit(query).alias("query_sent"),
                 F.lit(None).cast("string").alias("error_message"),
                 F.lit(at).alias("created_at"),
+                "first_version",
+                "last_version",
             ),
         )
 
     def log_batch(self, **values) -> None:
         """Log one batch, such as a micro-batch or a failed extract."""
-        last = self.read(s.BATCH_LOGS).agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
-        self.store.write(s.BATCH_LOGS, self._frame(s.BATCH_LOGS, batch_id=last + 1, **values))
+        self.store.write(s.BATCH_LOGS, self._frame(s.BATCH_LOGS, batch_id=first_id(), **values))
 
     # -- checkpoints -------------------------------------------------------------
 
@@ -100,6 +116,7 @@ class Ledger:
         """Progress of a table and, since the step succeeded, its safety mark."""
         state = self._frame(
             s.CHECKPOINTS,
+            checkpoint_id=f"{table_name}:{layer}",
             table_name=table_name,
             layer=layer,
             current_watermark=watermark,
@@ -111,8 +128,7 @@ class Ledger:
             is_override_active=False,
             updated_at=at,
         )
-        moved = control.checkpoint_upsert(self.read(s.CHECKPOINTS), state)
-        self.store.write(s.CHECKPOINTS, moved, "replace")
+        self.store.write(s.CHECKPOINTS, state)
 
     def mark(self, table_name: str, layer: str, start: int) -> int:
         """Current watermark of a table, its starting point if there is none."""
@@ -128,13 +144,18 @@ class Ledger:
         self, table_name: str, at: datetime, mark: int | None = None, active: bool = True
     ) -> bool:
         """Returns whether the table has a checkpoint."""
-        checkpoints = self.read(s.CHECKPOINTS)
-        found = not checkpoints.where(F.col("table_name") == table_name).isEmpty()
-        if found:
-            self.store.write(
-                s.CHECKPOINTS, control.set_override(checkpoints, table_name, at, mark, active), "replace"
+        layers = self.read(s.CHECKPOINTS).where(F.col("table_name") == table_name).select("layer").collect()
+        for row in layers:
+            change = self._frame(
+                s.CHECKPOINTS,
+                table_name=table_name,
+                layer=row["layer"],
+                fallback_watermark=mark,
+                is_override_active=active,
+                updated_at=at,
             )
-        return found
+            self.store.write(s.CHECKPOINTS, change)
+        return bool(layers)
 
     # -- replays -----------------------------------------------------------------
 
@@ -159,12 +180,15 @@ class Ledger:
     def move_replay(
         self, event_id: str, status: str, at: datetime, records: int = 0, error: str | None = None
     ) -> None:
-        patch = self._patch(
-            "event_id string, status string, records_processed bigint, error_message string, at timestamp",
-            event_id, status, records, error, at,
+        change = self._frame(
+            s.FALLBACK_EVENTS,
+            event_id=event_id,
+            status=status,
+            records_processed=records,
+            error_message=error,
+            completed_at=at if status in ("COMPLETED", "FAILED") else None,
         )
-        events = control.replay_status(self.read(s.FALLBACK_EVENTS), patch)
-        self.store.write(s.FALLBACK_EVENTS, events, "replace")
+        self.store.write(s.FALLBACK_EVENTS, change)
 
     # -- schema history ----------------------------------------------------------
 
@@ -182,9 +206,8 @@ class Ledger:
         seen = snapshots(profile_pages(named, column, *keys), *keys)
         history = self.read(s.SCHEMA_HISTORY)
         fresh = drift_events(seen, history)
-        last = history.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         rows = fresh.select(
-            F.lit(last + 1).cast("long").alias("id"),
+            F.lit(first_id()).cast("long").alias("id"),
             "table_name",
             "schema_hash",
             "columns_snapshot",

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.operators.align import align, main_projection, misfits, stamp
 from tidemark.operators.dedup import dedup_records
-from tidemark.operators.history import apply_history, one_per_instant
-from tidemark.operators.merge import insert_absent, upsert
+from tidemark.operators.history import one_per_instant
 from tidemark.operators.relations import junctions
-from tidemark.sources.store import TableState, TableStore
+from tidemark.sources.store import TableStore
 from tidemark.spec import TEXT, EntitySpec, TableSpec, T
 
 
@@ -57,14 +56,14 @@ def newest_records(prepared: DataFrame, spec: EntitySpec) -> DataFrame:
 
 def quarantine_table(spec: EntitySpec) -> TableSpec:
     columns = [T.StructField("faults", T.ArrayType(TEXT)), T.StructField("record", TEXT)]
-    return TableSpec(f"{spec.table_name}_quarantine", T.StructType(columns), ("record",), spec.buckets)
+    return TableSpec(f"{spec.table_name}_quarantine", T.StructType(columns), ("record",))
 
 
-def check_history_mode(store: TableStore, spec: EntitySpec, state: TableState) -> None:
+def check_history_mode(store: TableStore, spec: EntitySpec) -> None:
     """Refuse to start a second table for an entity whose history mode was switched."""
     here = spec.main_table()
     other = spec.base_name if spec.keep_history else f"{spec.base_name}_scd2"
-    if not state.version and store.exists(TableSpec(other, here.schema, here.keys)):
+    if not store.exists(here) and store.exists(TableSpec(other, here.schema, here.keys)):
         raise RuntimeError(f"{other} exists, {here.name} does not: migrate the table, do not switch the mode")
 
 
@@ -78,24 +77,39 @@ def load_table(
 ) -> Loaded:
     """Load raw records into the tables of an entity. Loading twice changes nothing.
 
-    ``on_fault`` is ``fail`` or ``quarantine``. An older version never undoes a
-    newer row, so pages may come in any order; of equal versions the later wins.
-    ``token`` names the load: a table that carries it already is left alone.
+    What is written is the newest row per staged key (or version), never a stored one: stored rows
+    are neither read nor written again, and merging on read keeps an older version from undoing a
+    newer row, so pages may come in any order; of equal versions the later write wins. Rows are
+    written aside and counted by the same job; they are published only if no record is unfit, or
+    ``on_fault`` is ``quarantine``. ``token`` names the load: one that was published is left alone,
+    and the main table, published last, closes it.
     """
-    state = store.state(spec.main_table())
-    check_history_mode(store, spec, state)
-    watch = Observation()
+    main = spec.main_table()
+    check_history_mode(store, spec)
+    arrivals, written = Observation(), Observation()
     faulty = F.size("_faults") > 0
     prepared = prepare(raw, spec, ingested_at).observe(
-        watch,
+        arrivals,
         F.count(F.lit(1)).alias("read"),
         F.count_if(faulty).alias("faulty"),
         F.max("_faults").alias("example"),
     )
-    clean = newest_records(prepared.where(~faulty), spec).persist(StorageLevel.MEMORY_AND_DISK)
+    lists = () if spec.keep_history else spec.list_fields
+    clean = newest_records(prepared.where(~faulty), spec)
+    if lists:
+        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+    counted = main_projection(clean, spec).observe(
+        written, F.count(F.lit(1)).alias("rows"), F.max(spec.version).alias("mark")
+    )
+    staged = []
     try:
-        figures = clean.agg(F.count(F.lit(1)).alias("rows"), F.max(spec.version).alias("mark")).first()
-        seen = watch.get
+        kind = "all" if spec.full_load else "add"
+        own = store.stage(main, counted, kind, token)
+        if own is None:
+            counted.write.format("noop").mode("overwrite").save()  # published before; only its figures are asked for
+        else:
+            staged.append(own)
+        seen, done = arrivals.get, written.get
         if seen["faulty"] and on_fault != "quarantine":
             raise DataQualityError(
                 f"{spec.name}: {seen['faulty']} of {seen['read']} records unfit, e.g. fields {seen['example']}"
@@ -106,61 +120,16 @@ def load_table(
                 F.col("_faults").alias("faults"), F.to_json(F.struct(*spec.fields)).alias("record")
             )
             store.write(quarantine_table(spec), rejected, "append", token)
-        if figures["rows"]:
-            _write_main(store, spec, state, clean, token)
-            for list_field in spec.list_fields if not spec.keep_history else ():
+        if done["rows"]:
+            for list_field in lists:
                 table = spec.junction_table(list_field)
-                pairs = junctions(clean, spec)[table.name]
-                before = store.state(table)
-                if token is None or token not in before.tokens:
-                    known = store.read(table, store.touched(table, pairs), before)
-                    fresh = insert_absent(known, pairs, list(table.keys))
-                    store.write(table, fresh, "append", token, before)
-        return Loaded(seen["read"], figures["rows"], seen["faulty"] or 0, figures["mark"])
+                store.write(table, junctions(clean, spec)[table.name], "append", token)
+            for part in staged:
+                store.publish(part)
+            staged = []
+        return Loaded(seen["read"], done["rows"], seen["faulty"] or 0, done["mark"])
     finally:
-        clean.unpersist()
-
-
-def _write_main(
-    store: TableStore,
-    spec: EntitySpec,
-    state: TableState,
-    clean: DataFrame,
-    token: str | None,
-) -> None:
-    table = spec.main_table()
-    if token is not None and token in state.tokens:
-        return
-    staging = main_projection(clean, spec)
-    if spec.full_load:
-        store.write(table, staging, "replace", token, state)
-        return
-    touched = store.touched(table, staging)
-    if spec.keep_history:
-        _write_history(store, spec, state, staging, touched, token)
-        return
-    existing = store.read(table, touched, state)
-    merged = upsert(existing, staging, [spec.key], spec.version)
-    store.rewrite(table, merged, touched, [], token, state)
-
-
-def _write_history(
-    store: TableStore,
-    spec: EntitySpec,
-    state: TableState,
-    staging: DataFrame,
-    touched: list[int],
-    token: str | None,
-) -> None:
-    """Versions that follow the current one need only the current rows: the row they
-    close is appended to the closed ones. Where a version arrives late, the closed
-    rows of its bucket are read and rewritten as well."""
-    table = spec.main_table()
-    now = store.read(table, touched, state).select(spec.key, F.col(spec.version).alias("_now"))
-    behind = staging.select(spec.key, spec.version).join(now, spec.key).where(F.col(spec.version) < F.col("_now"))
-    late = store.touched(table, behind)
-    closed = [table.buckets + b for b in late]
-    existing = store.read(table, touched + closed, state)
-    merged = apply_history(existing, staging, spec.key, spec.version)
-    appended = [table.buckets + b for b in touched if b not in late]
-    store.rewrite(table, merged, touched + closed, appended, token, state)
+        for part in staged:
+            store.discard(part)
+        if lists:
+            clean.unpersist()

@@ -56,3 +56,32 @@ def _use(spark: SparkSession, folder: str) -> None:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path, by the session's Hadoop settings."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it is not there."""
+    files, place = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    files, place = _folder(spark, path)
+    return files.exists(place)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; an error if the target is there or the rename fails."""
+    files, place = _folder(spark, source)
+    if there(spark, target) or not files.rename(place, _folder(spark, target)[1]):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _folder(spark, path)
+    files.delete(place, True)

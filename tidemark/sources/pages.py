@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from tidemark.functions.columns import page_path
 from tidemark.operators.paging import assign_pages, page_bounds
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, there
 from tidemark.spec import EntitySpec
 
 # Fixed pattern: a page is named <cursor>_<offset>, as a file or as a folder.
@@ -53,28 +55,29 @@ def scan_pages(
 def scan_refs(spark: SparkSession, spec: EntitySpec, root: str, refs: DataFrame) -> DataFrame:
     """Records of the pages named by ``refs`` (cursor_value, offset_value, created_at).
 
-    The day columns prune the scan; the page name picks the files.
+    Every page is opened by its name, so only the named files are listed and read, and one that is
+    not there is an error. The driver holds one path per page.
     """
-    folder = f"{root}/{spec.path.strip('/')}"
-    frame = spark.read.schema(loose_schema(spec)).option("ignoreMissingFiles", "false").json(folder)
-    named = with_arrival(frame, spec, *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")])
-    wanted = refs.select(
-        F.year("created_at").alias("year"),
-        F.month("created_at").alias("month"),
-        F.dayofmonth("created_at").alias("day"),
-        F.col("cursor_value").alias("_cursor"),
-        F.col("offset_value").alias("_offset"),
-    ).distinct()
-    return named.join(wanted, ["year", "month", "day", *ARRIVAL], "left_semi").drop("year", "month", "day")
-
-
-def list_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of all landed files below a folder; file contents are not read."""
+    path = page_path(spec.path.strip("/"), F.col("created_at"), F.col("cursor_value"), F.col("offset_value"))
+    return scan_pages(spark, spec, [f"{root}/{r.path}" for r in refs.select(path.alias("path")).distinct().collect()])
+
+
+def list_pages(spark: SparkSession, *folders: str) -> DataFrame:
+    """Paths of all landed files below folders; file contents are not read."""
+    if not folders:
+        return spark.createDataFrame([], "path string")
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders)).select("path")
     )
 
 
+def list_days(spark: SparkSession, root: str, refs: DataFrame) -> DataFrame:
+    """Paths of the landed files of the days that ``refs`` (path) name; other days are not listed."""
+    day = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    days = [f"{root}/{r.day}" for r in refs.select(day.alias("day")).distinct().collect()]
+    return list_pages(spark, *[d for d in days if there(spark, d)])
+
+
 def missing_pages(refs: DataFrame, files: DataFrame) -> DataFrame:
     """Referenced pages without a file. ``refs`` has ``path``, relative to any root.
 
@@ -96,33 +99,101 @@ def require_pages(refs: DataFrame, files: DataFrame, spec: EntitySpec) -> None:
         raise FileNotFoundError(f"pages of {spec.name} are logged but missing: {shown[:5]}{more}")
 
 
+def page_format(fields: str) -> type[DataSource]:
+    """Sink for (page, ``fields`` as JSON text): one file per page, under the name of the page.
+
+    Rows of a page come together. A file is written under a name that readers pass over and moved to
+    its own when it is whole, so a page that is landed again is replaced in one step, a retried task
+    writes the same file again, and no reader sees half a page. The class is defined in here so that
+    workers get it by value and need not have this package.
+    """
+
+    class PageWriter(DataSourceArrowWriter):
+        def __init__(self, folder: str):
+            self.folder = folder
+
+        def write(self, batches):
+            import uuid
+
+            import pyarrow.fs
+            from pyspark import TaskContext
+
+            files, base = pyarrow.fs.FileSystem.from_uri(self.folder)
+            done, name, out, draft = [], None, None, None
+
+            def close():
+                if out is not None:
+                    out.close()
+                    files.move(draft, f"{base}/{name}")
+                    done.append(name)
+
+            for batch in batches:
+                for page, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if page != name:
+                        close()
+                        name = page
+                        day = f"{base}/{page}".rpartition("/")[0]
+                        files.create_dir(day, recursive=True)
+                        draft = f"{day}/_{uuid.uuid4().hex}"
+                        out = files.open_output_stream(draft)
+                    out.write(line.encode() + b"\n")
+            close()
+            message = PageFiles()
+            message.names = done
+            message.task = TaskContext.get().partitionId() if TaskContext.get() else 0
+            return message
+
+        def commit(self, messages):
+            names = [n for m in messages if m is not None for n in m.names]
+            if len(set(names)) != len(names):
+                raise RuntimeError("two tasks wrote one page: rows of a page have to come together")
+
+        def abort(self, messages):
+            """Whole pages stay: landing them again replaces them."""
+
+    class PageFiles(WriterCommitMessage):
+        names: list[str]
+        task: int
+
+    class PageFormat(DataSource):
+        @classmethod
+        def name(cls):
+            return "tidemark_pages"
+
+        def schema(self):
+            return fields
+
+        def writer(self, schema, overwrite):
+            return PageWriter(self.options["path"])
+
+    return PageFormat
+
+
 def land_pages(
     frame: DataFrame, spec: EntitySpec, root: str, ingested_at: datetime, since: int = 0
 ) -> DataFrame:
     """Write a delta as pages and return the page table (cursor, offset, records, ...).
 
-    One folder per page, named <cursor>_<offset>; landing the same delta on the
+    One file per page, ``year=/month=/day=/<cursor>_<offset>.json``; landing the same delta on the
     same day again replaces its pages.
     """
-    folder = f"{root}/{spec.path.strip('/')}"
-    shared_dir(frame.sparkSession)
+    spark = frame.sparkSession
+    shared_dir(spark)
     paged = assign_pages(frame, spec)
-    # One small row per page, written once: it names the folders and is returned.
+    # One small row per page, written once: it names the files and is returned.
     bounds = page_bounds(paged, spec, since).checkpoint()
-    labels = bounds.select("page_no", F.concat_ws("_", "cursor", "offset").alias("page"))
-    day = {"year": "%04d", "month": "%02d", "day": "%02d"}
+    name = page_path(spec.path.strip("/"), F.lit(ingested_at), F.col("cursor"), F.col("offset"))
+    labels = bounds.select("page_no", name.alias("page"))
+    record = [F.col(f).alias(spec.source_names.get(f, f)) for f in spec.fields if f in frame.columns]
+    schema = "page string, record string"
+    spark.dataSource.register(page_format(schema))
     (
         paged.join(labels, "page_no")
         .repartition("page")
-        .sortWithinPartitions("page", spec.version, spec.key)
-        .select(
-            *[F.col(f).alias(spec.source_names.get(f, f)) for f in spec.fields if f in frame.columns],
-            *[F.lit(fmt % getattr(ingested_at, part)).alias(part) for part, fmt in day.items()],
-            "page",
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month", "day", "page")
-        .json(folder)
+        .sortWithinPartitions("page", "_rank")
+        .select("page", F.to_json(F.struct(*record)).alias("record"))
+        .write.format("tidemark_pages")
+        .mode("append")
+        .save(root)
     )
     return bounds

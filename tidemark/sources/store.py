@@ -1,56 +1,77 @@
-"""Stored tables: Parquet folders per hash bucket, published by small commit files.
+"""Stored tables: plain Parquet that writers append to and readers merge.
 
-Parquet has no MERGE. A change reads the buckets it touches, writes them below a
-new version and publishes them with one commit file; readers only see published
-folders, and a retried micro-batch finds its own commit and does nothing. One
-writer per table at a time.
+<root>/<table>/part=<micros>-<kind>-<token>: one folder per write, put in place by one rename, so that
+a reader sees all of a write or nothing. No writer reads or rewrites what another one wrote, hence any
+number of them may write to one table at once, and a write costs what its own rows cost. What a table
+holds is decided when it is read, by the rule of its declaration (``TableSpec.merge``):
+
+* ``all``: every row;
+* ``newest``: the row of every key with the greatest version, of equal versions the last written;
+* ``columns``: per key, the last value written to each column that is not null; ``sums`` add up;
+* ``distinct``: every row once;
+* ``history``: every version of a key, with the validity that follows from the others.
+
+A write of kind ``all`` hides the writes before it. A write with a token that is there already is a
+no-op. ``fold`` joins the writes so far to one, on request.
 """
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.history import VALIDITY, build_history, one_per_instant
+from tidemark.session import list_folder, move, remove
 from tidemark.spec import TableSpec
 
 # Rows after which a new file is begun.
 ROWS_PER_FILE = 5_000_000
+PART = re.compile(r"^part=(\d{20})-(add|all)-(.*)$")
+MARK = "_at"
 
-COMMIT = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("buckets", T.ArrayType(T.IntegerType())),
-        T.StructField("added", T.ArrayType(T.IntegerType())),
-        T.StructField("token", T.StringType()),
-    ]
-)
 
+@dataclass(frozen=True)
+class Part:
+    """One published write."""
 
-PLACE = [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())]
+    at: int
+    kind: str
+    token: str
+    path: str
 
 
-def hash_bucket(table: TableSpec) -> Column:
-    return F.pmod(F.xxhash64(table.keys[0]), F.lit(table.buckets)).cast("int")
+@dataclass(frozen=True)
+class Staged:
+    """Rows that are written but not published yet."""
 
+    table: TableSpec
+    path: str
+    kind: str
+    token: str
 
-def bucket_of(table: TableSpec) -> Column:
-    """Folder number of a row: its hash bucket, the second half for rows without the open flag."""
-    if table.open_flag is None:
-        return hash_bucket(table)
-    return hash_bucket(table) + F.when(F.col(table.open_flag), 0).otherwise(table.buckets)
 
+_LAST = [0]
+
+
+def safe(token: str) -> str:
+    """A token as it stands in a folder name."""
+    return re.sub(r"[^\w.@-]", "_", token)
 
-@dataclass(frozen=True)
-class TableState:
-    """What is published of a table: one folder per (version, bucket)."""
 
-    version: int = 0
-    folders: tuple[tuple[int, int], ...] = ()
-    tokens: frozenset[str] = frozenset()
+def moment() -> int:
+    """Microseconds since 1970, growing within a process."""
+    _LAST[0] = max(_LAST[0] + 1, time.time_ns() // 1000)
+    return _LAST[0]
+
+
+def stored_schema(table: TableSpec) -> T.StructType:
+    derived = VALIDITY if table.merge == "history" else ()
+    return T.StructType([f for f in table.schema if f.name not in derived])
 
 
 @dataclass(frozen=True)
@@ -58,146 +79,129 @@ class TableStore:
     spark: SparkSession
     root: str
 
+    def folder(self, table: TableSpec) -> str:
+        return f"{self.root}/{table.name}"
+
     # -- state -------------------------------------------------------------------
 
-    def _commit_folder(self, table: TableSpec) -> str:
-        return f"{self.root}/{table.name}/commits"
-
-    def state(self, table: TableSpec) -> TableState:
-        """Newest published state, from the commit files (one short row per commit)."""
-        reader = self.spark.read.schema(COMMIT).option("recursiveFileLookup", "true")
-        try:
-            rows = reader.json(self._commit_folder(table)).collect()
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = []  # nothing was ever published; reading does not change that
-        commits = sorted(rows, key=lambda c: c.version)
-        if len({c.version for c in commits}) < len(commits):
-            raise RuntimeError(f"two writers changed {table.name} at once")
-        folders: dict[int, list[int]] = {}
-        for commit in commits:
-            if commit.kind == "replace":
-                folders = {}
-            for bucket in commit.buckets:
-                folders[bucket] = [commit.version]
-            for bucket in commit.added:
-                folders.setdefault(bucket, []).append(commit.version)
-        return TableState(
-            commits[-1].version if commits else 0,
-            tuple((v, b) for b, versions in folders.items() for v in versions),
-            frozenset(c.token for c in commits if c.token),
-        )
+    def parts(self, table: TableSpec) -> list[Part]:
+        """Published writes in order, from the folder names; files are not opened."""
+        found = []
+        for name in list_folder(self.spark, self.folder(table)):
+            if match := PART.match(name):
+                found.append(Part(int(match[1]), match[2], match[3], f"{self.folder(table)}/{name}"))
+        return sorted(found, key=lambda p: (p.at, p.kind == "all", p.token))
+
+    def live(self, table: TableSpec) -> list[Part]:
+        """The last write that replaced all, and what follows it."""
+        parts = self.parts(table)
+        whole = [i for i, p in enumerate(parts) if p.kind == "all"]
+        return parts[whole[-1] :] if whole else parts
 
     def exists(self, table: TableSpec) -> bool:
-        return self.state(table).version > 0
+        return bool(self.parts(table))
+
+    def has(self, table: TableSpec, token: str) -> bool:
+        return any(p.token == safe(token) for p in self.parts(table))
 
     # -- read --------------------------------------------------------------------
 
-    def read(
-        self, table: TableSpec, buckets: list[int] | None = None, state: TableState | None = None
-    ) -> DataFrame:
-        """The newest state, or only some buckets of it."""
-        state = state or self.state(table)
-        by_version: dict[int, list[int]] = {}
-        for version, bucket in state.folders:
-            if buckets is None or bucket in buckets:
-                by_version.setdefault(version, []).append(bucket)
-        if not by_version:
-            return self.spark.createDataFrame([], table.schema)
-        data = f"{self.root}/{table.name}/data"
-        # Both are folder names, so the condition prunes folders and reads no stale file.
-        live = reduce(
-            lambda a, b: a | b,
-            [(F.col("version") == v) & F.col("bucket").isin(bs) for v, bs in by_version.items()],
-        )
-        return (
-            self.spark.read.schema(T.StructType([*table.schema, *PLACE]))
-            .option("basePath", data)
-            .parquet(*[f"{data}/version={v}" for v in by_version])
-            .where(live)
-            .select(*table.schema.fieldNames())
+    def rows(self, table: TableSpec, parts: list[Part] | None = None) -> DataFrame:
+        """Rows as they were written, with ``_at``, the moment of their write."""
+        parts = self.live(table) if parts is None else parts
+        schema = stored_schema(table)
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*schema, T.StructField(MARK, T.LongType())]))
+        frame = (
+            self.spark.read.schema(T.StructType([*schema, T.StructField("part", T.StringType())]))
+            .option("basePath", self.folder(table))
+            .parquet(*[p.path for p in parts])
         )
+        return frame.withColumn(MARK, F.substring("part", 1, 20).cast("long")).drop("part")
+
+    def read(self, table: TableSpec) -> DataFrame:
+        """The merged state."""
+        return merged(self.rows(table), table).select(*table.schema.fieldNames())
+
+    def current(self, table: TableSpec) -> DataFrame:
+        """The newest version of every key of a history table: one aggregate, no neighbours."""
+        order = [table.version, MARK]
+        newest = latest_per_key(self.rows(table), [table.keys[0]], order, drop=(MARK,))
+        return newest.withColumn("_valid_from", F.timestamp_seconds(table.version))
 
     # -- write -------------------------------------------------------------------
 
-    def _publish(
-        self,
-        table: TableSpec,
-        frame: DataFrame,
-        kind: str,
-        buckets: list[int],
-        added: list[int],
-        token: str | None,
-        state: TableState,
-    ) -> None:
-        version = state.version + 1
-        order = [c for c in (*table.cluster_by, *table.keys) if c not in table.partition_by]
+    def stage(
+        self, table: TableSpec, frame: DataFrame, kind: str = "add", token: str | None = None
+    ) -> Staged | None:
+        """Write rows aside; None if the token is published already."""
+        if token is not None and self.has(table, token):
+            return None
+        token = uuid.uuid4().hex if token is None else safe(token)
+        path = f"{self.folder(table)}/_staged/{uuid.uuid4().hex}"
+        names = stored_schema(table).fieldNames()
+        order = [c for c in (*table.cluster_by, *table.keys) if c in names]
         (
-            frame.select(*table.schema.fieldNames())
-            .withColumn("bucket", bucket_of(table))
-            # Rebalancing joins small buckets in a task and splits a hot one over several.
-            .hint("rebalance", F.col("bucket"))
-            .sortWithinPartitions("bucket", *table.partition_by, *order)
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", ROWS_PER_FILE)
-            .partitionBy("bucket", *table.partition_by)
-            .parquet(f"{self.root}/{table.name}/data/version={version}")
+            frame.select(*names)
+            .sortWithinPartitions(*order)
+            .write.option("maxRecordsPerFile", ROWS_PER_FILE)
+            .parquet(path)
         )
-        # Appending lets a commit that broke off before its file was published be tried again.
-        numbers = lambda ns: F.array(*map(F.lit, sorted(ns))).cast("array<int>")
-        self.spark.range(1, numPartitions=1).select(
-            F.lit(version).alias("version"),
-            F.lit(kind).alias("kind"),
-            numbers(buckets).alias("buckets"),
-            numbers(added).alias("added"),
-            F.lit(token).alias("token"),
-        ).write.mode("append").json(f"{self._commit_folder(table)}/version={version}")
-
-    def touched(self, table: TableSpec, frame: DataFrame) -> list[int]:
-        """Hash buckets a frame falls into: at most as many as the table has."""
-        return [r.b for r in frame.select(hash_bucket(table).alias("b")).distinct().collect()]
-
-    def write(
-        self,
-        table: TableSpec,
-        frame: DataFrame,
-        mode: str = "append",
-        token: str | None = None,
-        state: TableState | None = None,
-    ) -> None:
-        """``append``, ``replace``, or ``fail`` when the table is there already.
-
-        A token that is published already makes the write a no-op.
-        """
-        state = state or self.state(table)
-        if mode == "fail" and state.version > 0:
+        return Staged(table, path, kind, token)
+
+    def publish(self, staged: Staged) -> None:
+        name = f"part={moment():020d}-{staged.kind}-{staged.token}"
+        move(self.spark, staged.path, f"{self.folder(staged.table)}/{name}")
+
+    def discard(self, staged: Staged) -> None:
+        remove(self.spark, staged.path)
+
+    def write(self, table: TableSpec, frame: DataFrame, mode: str = "append", token: str | None = None) -> None:
+        """``append``, ``replace``, or ``fail`` when the table is there already."""
+        if mode == "fail" and self.exists(table):
             raise FileExistsError(f"table {table.name} exists")
-        if token is not None and token in state.tokens:
-            return
-        every = list(range(table.buckets * (1 if table.open_flag is None else 2)))
-        if mode == "append":
-            self._publish(table, frame, "change", [], every, token, state)
-        else:
-            self._publish(table, frame, "replace", every, [], token, state)
-
-    def rewrite(
-        self,
-        table: TableSpec,
-        frame: DataFrame,
-        buckets: list[int],
-        added: list[int],
-        token: str | None = None,
-        state: TableState | None = None,
-    ) -> None:
-        """Replace whole ``buckets`` and append to the ``added`` ones, in one commit.
-
-        The frame holds every row of the first and only new rows of the second.
-        """
-        state = state or self.state(table)
-        if token is None or token not in state.tokens:
-            self._publish(table, frame, "change", buckets, added, token, state)
+        staged = self.stage(table, frame, "all" if mode == "replace" else "add", token)
+        if staged is not None:
+            self.publish(staged)
+
+    def fold(self, table: TableSpec) -> None:
+        """Join the live writes to one and remove what it stands for.
 
-    def compact(self, table: TableSpec) -> None:
-        """Rewrite the newest state as one version."""
-        self.write(table, self.read(table), "replace")
+        The joined rows are published in the place of the last write they come from, which then all
+        go: in between, merging takes both as one, so writers may go on. Where rows are counted
+        (``all`` and ``sums``) the joined ones hide the others instead, which needs a moment without
+        other writers. Tokens of removed writes are forgotten: fold what no stream can try again.
+        """
+        parts, live = self.parts(table), self.live(table)
+        if len(parts) < 2:
+            return
+        counted = table.merge == "all" or bool(table.sums)
+        staged = self.stage(table, merged(self.rows(table, live), table), "all" if counted else "add")
+        name = f"part={live[-1].at:020d}-{staged.kind}-{staged.token}"
+        move(self.spark, staged.path, f"{self.folder(table)}/{name}")
+        for part in parts:
+            remove(self.spark, part.path)
+
+
+def merged(rows: DataFrame, table: TableSpec) -> DataFrame:
+    """Rows of :meth:`TableStore.rows` under the rule of their table."""
+    keys = list(table.keys)
+    if table.merge == "newest":
+        order = [c for c in (table.version, MARK) if c]
+        return latest_per_key(rows, keys, order, drop=(MARK,))
+    if table.merge == "columns":
+        rest = [c for c in table.schema.fieldNames() if c not in keys]
+        return rows.groupBy(*keys).agg(
+            *[
+                F.expr(f"sum(`{c}`)").alias(c)
+                if c in table.sums
+                else F.expr(f"max_by(`{c}`, {MARK}) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
+                for c in rest
+            ]
+        )
+    if table.merge == "distinct":
+        return rows.drop(MARK).distinct()
+    if table.merge == "history":
+        versions = one_per_instant(rows, keys[0], table.version, [MARK], drop=(MARK,))
+        return build_history(versions, keys[0], table.version)
+    return rows.drop(MARK)

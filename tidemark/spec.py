@@ -64,19 +64,19 @@ def singular(word: str) -> str:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One stored table: schema, key, hash buckets and row order inside files.
+    """One stored table: schema, key, row order inside files, and how its writes are merged.
 
-    With ``open_flag`` every bucket is kept twice: rows with the flag set, and all
-    others. The first kind can then be rewritten without touching the second.
+    ``merge`` is a rule of ``sources/store.py``; ``version`` orders the rows of a key, ``sums`` names
+    columns that add up.
     """
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
-    buckets: int = 1
-    partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
-    open_flag: str | None = None
+    merge: str = "all"
+    version: str | None = None
+    sums: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -94,7 +94,6 @@ class EntitySpec:
     full_load: bool = False
     cluster_by: tuple[str, ...] = ()
     source_names: dict[str, str] = field(default_factory=dict)
-    buckets: int = 16
 
     @property
     def base_name(self) -> str:
@@ -126,14 +125,15 @@ class EntitySpec:
         columns = [self.schema[n] for n in self.main_fields] + AUDIT_FIELDS
         if self.keep_history:
             columns = columns + VALIDITY_FIELDS
+        if self.full_load:
+            return TableSpec(self.table_name, T.StructType(columns), (self.key,), self.cluster_by)
         return TableSpec(
             self.table_name,
             T.StructType(columns),
             (self.key, "_valid_from") if self.keep_history else (self.key,),
-            self.buckets,
-            ("_is_current",) if self.keep_history else (),
             self.cluster_by,
-            "_is_current" if self.keep_history else None,
+            "history" if self.keep_history else "newest",
+            self.version,
         )
 
     def junction_columns(self, list_field: str) -> tuple[str, str]:
@@ -146,7 +146,7 @@ class EntitySpec:
             f"{singular(self.base_name)}_{list_field}",
             record((left, self.schema[self.key].dataType), (right, element)),
             (left, right),
-            self.buckets,
+            merge="distinct",
         )
 
 
@@ -245,6 +245,7 @@ RUNS = TableSpec(
         required=("run_id",),
     ),
     ("run_id",),
+    merge="columns",
 )
 CHECKPOINTS = TableSpec(
     "ingestion_checkpoints",
@@ -263,6 +264,7 @@ CHECKPOINTS = TableSpec(
         required=("table_name", "layer"),
     ),
     ("table_name", "layer"),
+    merge="columns",
 )
 FALLBACK_EVENTS = TableSpec(
     "fallback_events",
@@ -280,6 +282,8 @@ FALLBACK_EVENTS = TableSpec(
         required=("event_id",),
     ),
     ("event_id",),
+    merge="columns",
+    sums=("records_processed",),
 )
 BATCH_LOGS = TableSpec(
     "batch_logs",
@@ -296,9 +300,12 @@ BATCH_LOGS = TableSpec(
         ("query_sent", TEXT),
         ("error_message", TEXT),
         ("created_at", INSTANT),
+        ("first_version", LONG),
+        ("last_version", LONG),
         required=("batch_id",),
     ),
-    ("batch_id",),
+    ("batch_id", "run_id", "table_name"),
+    merge="newest",
 )
 SCHEMA_HISTORY = TableSpec(
     "schema_history",
@@ -314,5 +321,6 @@ SCHEMA_HISTORY = TableSpec(
         ("status", TEXT),
         ("action_taken", TEXT),
     ),
-    ("table_name", "schema_hash"),
+    ("id", "table_name"),
+    merge="newest",
 )

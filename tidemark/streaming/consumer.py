@@ -14,7 +14,7 @@ from tidemark import spec as s
 from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.load import Loaded, load_table
-from tidemark.sources.pages import loose_schema, require_pages, list_pages, scan_refs, with_arrival
+from tidemark.sources.pages import loose_schema, require_pages, list_days, scan_refs, with_arrival
 from tidemark.sources.store import TableStore
 
 # Pages per micro-batch when following, and when draining.
@@ -144,7 +144,7 @@ def load_snapshot(
     if newest is None:
         return None
     token = f"snapshot:{newest['run_id']}"
-    if token in store.state(spec.main_table()).tokens:
+    if store.has(spec.main_table(), token):
         return None
     return _load_refs(store, ledger, spec, root, refs, at or utc_now(), token, on_fault)
 
@@ -159,11 +159,8 @@ def _load_refs(
     token: str,
     on_fault: str,
 ) -> Loaded:
-    require_pages(
-        control.batch_refs(refs, spec.path.strip("/")),
-        list_pages(store.spark, f"{root}/{spec.path.strip('/')}"),
-        spec,
-    )
+    paths = control.batch_refs(refs, spec.path.strip("/"))
+    require_pages(paths, list_days(store.spark, root, paths), spec)
     done = load_table(store, spec, scan_refs(store.spark, spec, root, refs), at, token, on_fault=on_fault)
     mark = ledger.mark(spec.name, "ANALYTICS", spec.start)
     last = refs.agg(F.max("batch_id")).first()[0]
@@ -194,8 +191,7 @@ def replay(
     ledger = Ledger(store)
     ledger.move_replay(event_id, "IN_PROGRESS", at)
     try:
-        # A page holds no version below its cursor, so later pages need no reading.
-        pages = control.landed(ledger.read(s.BATCH_LOGS), spec.name).where(F.col("cursor_value") <= end)
+        pages = control.pages_overlapping(ledger.read(s.BATCH_LOGS), spec.name, start, end)
         done = 0
         if not pages.isEmpty():
             records = in_window(scan_refs(store.spark, spec, root, pages), spec, start, end)

@@ -350,7 +350,7 @@ def upsert_partial(spark, sf_dir):
 
 def nation_store(spark, label):
     schema = s.record(*s.named(s.LONG, "key"), *s.named(s.TEXT, "name"))
-    return TableStore(spark, scratch(spark, label)), s.TableSpec("members", schema, ("key",), 4)
+    return TableStore(spark, scratch(spark, label)), s.TableSpec("members", schema, ("key",))
 
 
 def members(spark, sf_dir, name, key, label):

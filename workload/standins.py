@@ -25,7 +25,6 @@ ACTIVITY = s.EntitySpec(
         *s.named(s.LONGS, "marks"),
         required=("id", "name"),
     ),
-    buckets=4,
 )
 # Versions of users: the same records under the user's id, history kept.
 USER = s.EntitySpec(
@@ -40,7 +39,6 @@ USER = s.EntitySpec(
         required=("id", "name"),
     ),
     keep_history=True,
-    buckets=4,
 )
 BUNDLE = s.EntitySpec(
     name="Bundle",
