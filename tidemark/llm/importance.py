@@ -140,7 +140,7 @@ def resample(
     draw = percent * scored.where(able).count() // 100
     # Ids and scores decide; equal pairs are repeated rows, told apart by their weight alone or not at all.
     order = [F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("weight").asc(), F.col("n_features").asc()]
-    ranked = numbered(scored.where(able), order, "rank")
+    ranked = numbered(scored.where(able), order, "rank", evaluated=True)
     drawn = F.when(F.col("rank") < draw, F.col("rank") + 1).cast("long").alias("rank")
     rest = scored.where(~able).withColumn("rank", F.lit(None).cast("long"))
     return ranked.withColumn("rank", drawn).unionByName(rest)
