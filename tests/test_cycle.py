@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import spec as s
+from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.load import DataQualityError, load_table
 from tidemark.sources.pages import land_pages, missing_pages, list_pages, scan_pages, scan_refs
@@ -388,3 +389,63 @@ def test_store_modes(spark, store, tmp_path):
     assert store.read(table).count() == 1
     store.write(table, one.where("id > 9"), "replace")
     assert store.read(table).count() == 0
+
+
+def test_replay_reads_only_the_pages_of_its_window(spark, store, tmp_path):
+    root, small = str(tmp_path / "raw"), changed(COMPANY, page_size=10)
+    pages = land_pages(companies(spark, 100), small, root, NOW, since=T0)
+    Ledger(store).log_pages(pages, small, "run", NOW, 0, "all")
+    refs = control.pages_overlapping(store.read(s.BATCH_LOGS), "Company", T0 + 25, T0 + 40)
+    files = scan_refs(spark, small, root, refs).inputFiles()
+    # Page names carry the offset; the other pages are not even opened.
+    assert sorted(f.rsplit("_", 1)[1] for f in files) == ["20.json", "30.json", "40.json"]
+    event = Ledger(store).create_replay("Company", T0 + 25, T0 + 40, NOW, "ANALYTICS").first()
+    assert consumer.replay(store, small, root, event.event_id, T0 + 25, T0 + 40, NOW) == 16
+    # Rows logged without page bounds are judged by their cursor.
+    old = store.read(s.BATCH_LOGS).withColumn("last_version", F.lit(None).cast("long"))
+    assert control.pages_overlapping(old, "Company", T0 + 25, T0 + 40).count() == 10
+
+
+def test_two_streams_share_the_control_tables(spark, store, tmp_path):
+    root = str(tmp_path / "raw")
+    specs = [changed(COMPANY, page_size=20), changed(COMPANY, name="Firm", path="firms", page_size=20)]
+    for spec in specs:
+        producer.land(store, spec, companies(spark, 100), root, f"run-{spec.name}", NOW, T0)
+    streams = [consumer.follow(store, e, root, str(tmp_path / e.path), pages=1, until_idle=True, by_log=i == 0) for i, e in enumerate(specs)]
+    for stream in streams:
+        stream.awaitTermination()
+    marks = {m.table_name: m.current_watermark for m in store.read(s.CHECKPOINTS).collect()}
+    assert marks == {"Company": T0 + 99, "Firm": T0 + 99}
+    done = store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS'").groupBy("table_name").agg(F.sum("records_count"))
+    assert {tuple(r) for r in done.collect()} == {("Company", 100), ("Firm", 100)}
+    ids = [r.batch_id for r in store.read(s.BATCH_LOGS).collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_log_stream_goes_on_after_a_restart(spark, store, tmp_path):
+    root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
+    for n in range(3):
+        later = companies(spark, 40).select("id", F.lit(str(n)).alias("name"), (F.col("updated_at") + n * 1000).alias("updated_at"))
+        producer.land(store, COMPANY, later, root, f"run-{n}", NOW, T0 + n * 1000)
+        consumer.follow(store, COMPANY, root, checkpoint, until_idle=True, by_log=True).awaitTermination()
+    loads = store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS'").collect()
+    assert [b.records_count for b in loads] == [40, 40, 40]
+    assert {r.name for r in store.read(COMPANY.main_table()).collect()} == {"2"}
+    assert store.read(s.CHECKPOINTS).first().last_batch_id == store.read(s.BATCH_LOGS).where("layer = 'RAW'").agg(F.max("batch_id")).first()[0]
+
+
+def test_drift_is_logged_once_per_change(spark, store):
+    ledger = Ledger(store)
+    one, two = [spark.createDataFrame([(t,)], "value string") for t in ('{"id": 1}', '{"id": 1, "x": "y"}')]
+    assert [ledger.log_drift(f, "value", COMPANY, "r", NOW) for f in (one, one, two, two, one)] == [1, 0, 1, 0, 1]
+    both = one.withColumn("table_name", F.explode(F.array(F.lit("A"), F.lit("Company"))))
+    assert ledger.log_drift(both, "value", None, "r", NOW) == 1
+
+
+def test_started_runs_are_started_once(spark, store):
+    ledger = Ledger(store)
+    for at in (NOW, NOW.replace(hour=21)):
+        ledger.start_run("RAW", at, "same")
+    ledger.finish_run("same", "COMPLETED", NOW)
+    runs = store.read(s.RUNS).collect()
+    assert [(r.run_id, r.status, r.started_at.hour) for r in runs] == [("same", "COMPLETED", NOW.hour)]

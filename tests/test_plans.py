@@ -1,8 +1,10 @@
 """Market, governance, control and drift plans on small inputs."""
 
 import json
+import random
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import spec as s
@@ -209,3 +211,15 @@ def test_registered_queries_have_sql():
     # Queries of the optional subpackage may lack SQL where SQL cannot express them.
     assert set(SQL) == set(QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("sort_by", ["rating", "recent", "hypes", "name"])
+def test_seek_equals_offset(spark, sort_by):
+    rng = random.Random(1)
+    pick = lambda *values: rng.choice([None, *values])
+    rows = [(i, pick("a", "b"), pick(1.0, 2.0, 3.0), pick(1, 2), pick(5, 6), pick(7, 8)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "id long, name string, rating double, rating_count long, hypes long, first_release_date long")
+    ordered = frame.orderBy(*market.explorer_order(sort_by)).collect()
+    for at in (0, 7, 20, 38, 39):
+        seen = market.behind(market.explorer_keys(sort_by), ordered[at].asDict())
+        assert frame.where(seen).orderBy(*market.explorer_order(sort_by)).collect() == ordered[at + 1 :]

@@ -55,8 +55,9 @@ def pages_overlapping(batches: DataFrame, table_name: str, start: int, end: int)
 
     Pages logged without these are judged by their cursor: a page holds no version below it.
     """
-    known = (F.col("last_version") >= start) & (F.col("first_version") <= end)
-    return landed(batches, table_name).where(F.coalesce(known, F.col("cursor_value") <= end))
+    known = F.col("first_version").isNotNull() & F.col("last_version").isNotNull()
+    overlap = (F.col("last_version") >= start) & (F.col("first_version") <= end)
+    return landed(batches, table_name).where(F.when(known, overlap).otherwise(F.col("cursor_value") <= end))
 
 
 def latest_batch(batches: DataFrame) -> DataFrame:

@@ -193,15 +193,16 @@ class Ledger:
     # -- schema history ----------------------------------------------------------
 
     def log_drift(
-        self, records: DataFrame, column: str, entity: s.EntitySpec, run_id: str, at: datetime
+        self, records: DataFrame, column: str, entity: s.EntitySpec | None, run_id: str, at: datetime
     ) -> int:
         """Profile landed lines (a record or an array of records) and log a changed schema.
 
-        Returns the number of rows logged.
+        Without an entity the records carry their ``table_name``, and all tables are logged at once.
+        A schema that is the last one logged of its table already is not logged again. Returns the
+        number of rows logged.
         """
-        named = records.select(
-            F.lit(entity.name).alias("table_name"), F.lit(0).cast("long").alias("batch_id"), column
-        )
+        table = F.col("table_name") if entity is None else F.lit(entity.name).alias("table_name")
+        named = records.select(table, F.lit(0).cast("long").alias("batch_id"), column)
         keys = ("table_name", "batch_id")
         seen = snapshots(profile_pages(named, column, *keys), *keys)
         history = self.read(s.SCHEMA_HISTORY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import date_guard, epoch_year, guarded_year, round1
@@ -131,15 +133,37 @@ def explorer_filter(games: DataFrame, search: str | None, genre_id: int | None)
     return found
 
 
+# Sort keys of the explorer: column and whether it descends. Nulls come last either way.
+EXPLORER_KEYS = {
+    "recent": (("first_release_date", True),),
+    "hypes": (("hypes", True),),
+    "name": (("name", False),),
+    "rating": (("rating", True), ("rating_count", True)),
+}
+
+
+def explorer_keys(sort_by: str) -> tuple[tuple[str, bool], ...]:
+    """Keys of a sort order; anything unknown sorts by rating. Ties go by id."""
+    return (*EXPLORER_KEYS.get(sort_by, EXPLORER_KEYS["rating"]), ("id", False))
+
+
 def explorer_order(sort_by: str) -> list[Column]:
-    """Sort orders of the explorer; anything unknown sorts by rating. Ties go by id."""
-    orders = {
-        "recent": [F.col("first_release_date").desc_nulls_last()],
-        "hypes": [F.col("hypes").desc_nulls_last()],
-        "name": [F.col("name").asc_nulls_last()],
-    }
-    by_rating = [F.col("rating").desc_nulls_last(), F.col("rating_count").desc_nulls_last()]
-    return [*orders.get(sort_by, by_rating), F.col("id").asc()]
+    return [
+        F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in explorer_keys(sort_by)
+    ]
+
+
+def behind(keys: tuple[tuple[str, bool], ...], last: Mapping[str, object]) -> Column:
+    """Rows that follow ``last`` in the order of ``keys``, nulls last: equal in some first keys,
+    behind in the next one."""
+    found, equal = F.lit(False), F.lit(True)
+    for name, down in keys:
+        value = last[name]
+        if value is not None:
+            beyond = F.col(name) < F.lit(value) if down else F.col(name) > F.lit(value)
+            found = found | (equal & (beyond | F.col(name).isNull()))
+        equal = equal & F.col(name).eqNullSafe(F.lit(value))
+    return found
 
 
 def explorer_page(
@@ -151,13 +175,18 @@ def explorer_page(
     sort_by: str = "rating",
     limit: int = 25,
     offset: int = 0,
+    after: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """One page of games with resolved genre and platform names.
 
-    Names are resolved behind the limit, for the rows of the page only.
+    ``after`` holds the sort keys of the last row seen: the page then follows that row, which costs
+    the same for every page, whereas an offset sorts and drops all rows before it. Names are resolved
+    behind the limit, for the rows of the page only.
     """
     keep = [*PAGE_COLUMNS, "first_release_date", "genres", "platforms"]
-    page = explorer_filter(games, search, genre_id).select(*keep).orderBy(*explorer_order(sort_by))
+    found = explorer_filter(games, search, genre_id)
+    found = found if after is None else found.where(behind(explorer_keys(sort_by), after))
+    page = found.select(*keep).orderBy(*explorer_order(sort_by))
     page = (page.offset(offset) if offset else page).limit(limit)
     lookups = {"genre_names": ("genres", genres), "platform_names": ("platforms", platforms)}
     named = attach_names(page, "id", lookups).orderBy(*explorer_order(sort_by))

@@ -15,14 +15,12 @@ from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.load import Loaded, load_table
 from tidemark.sources.pages import loose_schema, require_pages, list_days, scan_refs, with_arrival
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import TableStore, stored_schema
 
 # Pages per micro-batch when following, and when draining.
 FOLLOW_PAGES = 10
 DRAIN_PAGES = 50
 FOLLOW_INTERVAL = "1 second"
-# Seconds to wait for the log of a landed snapshot.
-LOG_PATIENCE = 60
 
 
 def utc_now() -> datetime:
@@ -40,6 +38,19 @@ def page_stream(store: TableStore, spec: s.EntitySpec, root: str, pages: int) ->
     return with_arrival(stream, spec)
 
 
+def log_stream(store: TableStore, pages: int) -> DataFrame:
+    """New rows of the batch log as a stream, ``pages`` log files at a time.
+
+    A landing is logged by one write and seen whole by whoever reads the log, but its rows may come
+    over several micro-batches.
+    """
+    return (
+        store.spark.readStream.schema(stored_schema(s.BATCH_LOGS))
+        .option("maxFilesPerTrigger", pages)
+        .parquet(f"{store.folder(s.BATCH_LOGS)}/part=*")
+    )
+
+
 def follow(
     store: TableStore,
     spec: s.EntitySpec,
@@ -49,19 +60,32 @@ def follow(
     until_idle: bool = False,
     clock: Callable[[], datetime] = utc_now,
     on_fault: str = "fail",
+    by_log: bool = False,
 ) -> StreamingQuery:
     """Consume pages as they land; with ``until_idle`` stop when none is left.
 
-    Which pages were consumed is kept in the stream checkpoint and does not
-    depend on source timestamps. Tables carry the id of the micro-batch, so one
-    that is retried after a failure takes up where it stopped. The checkpoint row
-    is written last. A full-load entity is replaced by the whole logged snapshot
-    that a new page belongs to, never by the pages of one micro-batch.
+    With ``by_log`` the stream is that of the batch log, and the pages named by its rows are read by
+    their names: what was consumed are batch ids, in the order they were logged, whatever the times
+    or the order of the files. Otherwise every page found is consumed, logged or not. A full-load
+    entity is always consumed by the log: a logged snapshot is whole, and it replaces the table, never
+    the pages of one micro-batch.
+
+    Which rows were consumed is kept in the stream checkpoint and does not depend on source
+    timestamps. Writes carry the id of the micro-batch, so one that is retried after a failure takes
+    up where it stopped. The checkpoint row is written last. Any number of streams may share the
+    control tables.
     """
     ledger = Ledger(store)
+    by_log = by_log or spec.full_load
 
     def consume(frame: DataFrame, batch: int) -> None:
         begun = time.monotonic()
+        last = batch
+        if by_log:
+            refs = control.landed(frame, spec.name)
+            last = refs.agg(F.max("batch_id")).first()[0]
+            if last is None:
+                return  # rows of other tables
         # The id of the stream is new whenever its checkpoint folder is new.
         stream_id = store.spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
         mark = ledger.mark(spec.name, "ANALYTICS", spec.start)
@@ -82,24 +106,19 @@ def follow(
 
         try:
             if spec.full_load:
-                await_log(ledger, spec, frame)
                 done = load_snapshot(store, spec, root, clock(), on_fault)
                 log("SUCCESS", done.rows if done else 0)
                 return
-            done = load_table(store, spec, frame, clock(), f"{stream_id}:{batch}", on_fault=on_fault)
+            records = scan_refs(store.spark, spec, root, refs) if by_log else frame
+            done = load_table(store, spec, records, clock(), f"{stream_id}:{batch}", on_fault=on_fault)
         except Exception as problem:
             log("FAILED", 0, str(problem))
             raise
-        ledger.checkpoint(
-            spec.name, "ANALYTICS", max(mark, done.watermark or mark), clock(), last_batch_id=batch
-        )
+        ledger.checkpoint(spec.name, "ANALYTICS", max(mark, done.watermark or mark), clock(), last_batch_id=last)
         log("SUCCESS", done.rows)
 
-    writer = (
-        page_stream(store, spec, root, pages)
-        .writeStream.foreachBatch(consume)
-        .option("checkpointLocation", checkpoint)
-    )
+    stream = log_stream(store, pages) if by_log else page_stream(store, spec, root, pages)
+    writer = stream.writeStream.foreachBatch(consume).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if until_idle else {"processingTime": FOLLOW_INTERVAL}
     return writer.trigger(**trigger).start()
 
@@ -120,19 +139,6 @@ def drain(
     return True
 
 
-def await_log(ledger: Ledger, spec: s.EntitySpec, frame: DataFrame) -> None:
-    """Wait until all pages of a micro-batch are logged; a snapshot is logged after its last page."""
-    pages = frame.select("_cursor", "_offset").distinct()
-    for _ in range(LOG_PATIENCE):
-        logged = control.landed(ledger.read(s.BATCH_LOGS), spec.name).select(
-            F.col("cursor_value").alias("_cursor"), F.col("offset_value").cast("long").alias("_offset")
-        )
-        if pages.join(logged, ["_cursor", "_offset"], "left_anti").isEmpty():
-            return
-        time.sleep(1)
-    raise RuntimeError(f"pages of {spec.name} landed but were not logged")
-
-
 def load_snapshot(
     store: TableStore, spec: s.EntitySpec, root: str, at: datetime | None = None, on_fault: str = "fail"
 ) -> Loaded | None:

@@ -133,6 +133,17 @@ def explorer_page(spark, sf_dir):
     return explorer(spark, sf_dir, search=" specified ", offset=50)
 
 
+@query(
+    "explorer_after", "games", "genres", "platforms",
+    sql=explorer_sql("TRUE", "rating DESC NULLS LAST, rating_count DESC NULLS LAST", 25, 150),
+)
+def explorer_after(spark, sf_dir):
+    """The page behind the 150th row, found by the sort keys of that row."""
+    games = d.games(spark, sf_dir)
+    last = market.current(games).orderBy(*market.explorer_order("rating")).offset(149).first()
+    return explorer(spark, sf_dir, after=last.asDict())
+
+
 @query(
     "explorer_by_tag", "games", "genres", "platforms",
     sql=explorer_sql("list_contains(genres, 7)", "hypes DESC NULLS LAST", 25, 0),

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import spec as s
 from tidemark.operators import drift, history
+from tidemark.operators.align import align
 from tidemark.plans import control, governance
 from tidemark.plans.load import load_table
 from tidemark.session import scratch
-from tidemark.sources.pages import land_pages
+from tidemark.sources.pages import land_pages, scan_pages
 from tidemark.sources.store import TableStore
 from tidemark.streaming import consumer
 from tidemark.plans.ledger import Ledger
@@ -556,6 +557,122 @@ def stream_drain(spark, sf_dir):
 BULK_USER = s.EntitySpec(**{**d.USER.__dict__, "page_size": 5_000})
 
 
+def landed(spark, label, *deltas):
+    """A store whose batch log and pages hold the deltas (entity, rows), logged one after the other."""
+    base = scratch(spark, label)
+    store = TableStore(spark, f"{base}/tables")
+    for n, (spec, rows) in enumerate(deltas):
+        at = NOW + timedelta(days=n)
+        pages = land_pages(rows, spec, f"{base}/raw", at, s.DEFAULT_START)
+        Ledger(store).log_pages(pages, spec, f"run-{n}", at, 0, "all")
+    return base, store
+
+
+@query(
+    "stream_upsert", "activities",
+    sql="""SELECT id, updated_at + CASE WHEN name = 'click' THEN 7 ELSE 0 END AS updated_at,
+        score + CASE WHEN name = 'click' THEN 1 ELSE 0 END AS score FROM activities""",
+)
+def stream_upsert(spark, sf_dir):
+    """Newer clicks land first and the rest after them; the stream is stopped and taken up in between."""
+    source = d.activities(spark, sf_dir).drop("undeclared")
+    newer = source.where(F.col("name") == "click").withColumns(
+        {"updated_at": F.col("updated_at") + 7, "score": F.col("score") + 1}
+    )
+    base, store = landed(spark, "upsert", (d.BULK, newer))
+    for again in (False, True):
+        if again:
+            pages = land_pages(source, d.BULK, f"{base}/raw", NOW, s.DEFAULT_START)
+            Ledger(store).log_pages(pages, d.BULK, "run-1", NOW, 0, "all")
+        consumer.follow(store, d.BULK, f"{base}/raw", f"{base}/checkpoint", until_idle=True, by_log=True).awaitTermination()
+    return store.read(d.BULK.main_table()).select("id", "updated_at", "score")
+
+
+@query("stream_snapshot", sql="SELECT s_suppkey AS id, s_name AS name FROM supplier")
+def stream_snapshot(spark, sf_dir):
+    """Two snapshots of a full-load table in many pages each: the last one stays, whole."""
+    members = lambda name, key, label: d.table(spark, sf_dir, name).select(
+        F.col(key).cast("long").alias("id"), F.col(label).alias("name"), F.col(key).cast("long").alias("updated_at")
+    )
+    many, few = members("customer", "c_custkey", "c_name"), members("supplier", "s_suppkey", "s_name")
+    base, store = landed(spark, "snapshot", (s.GENRE, many), (s.GENRE, few))
+    consumer.follow(store, s.GENRE, f"{base}/raw", f"{base}/checkpoint", pages=1, until_idle=True).awaitTermination()
+    return store.read(s.GENRE.main_table()).select("id", "name")
+
+
+@query(
+    "checkpoint_concurrent", "activities", "users",
+    sql="""SELECT 'Activity' AS table_name, count(*) AS records, max(updated_at) AS current_watermark FROM activities
+        UNION ALL SELECT 'User', count(DISTINCT (id, updated_at)), max(updated_at) FROM users""",
+)
+def checkpoint_concurrent(spark, sf_dir):
+    """Two streams at once on one set of control tables: both checkpoints, and every logged row count."""
+    activities = d.activities(spark, sf_dir).drop("undeclared")
+    users = history.one_per_instant(d.users(spark, sf_dir), "id", "updated_at", ["event_id"])
+    base, store = landed(spark, "concurrent", (d.BULK, activities), (BULK_USER, users))
+    streams = [
+        consumer.follow(store, spec, f"{base}/raw", f"{base}/{spec.name}", until_idle=True, by_log=True)
+        for spec in (d.BULK, BULK_USER)
+    ]
+    for stream in streams:
+        stream.awaitTermination()
+    done = store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS' AND status = 'SUCCESS'")
+    records = done.groupBy("table_name").agg(F.sum("records_count").alias("records"))
+    marks = store.read(s.CHECKPOINTS).where("layer = 'ANALYTICS'").select("table_name", "current_watermark")
+    return records.join(marks, "table_name")
+
+
+@query(
+    "refs_scan", "activities",
+    sql="""WITH p AS (SELECT *, (row_number() OVER (ORDER BY updated_at, id) - 1) // 500 AS page FROM activities),
+        hit AS (SELECT page FROM p GROUP BY 1 HAVING max(updated_at) >= 1704844800 AND min(updated_at) <= 1705276800)
+        SELECT id, name, updated_at, score FROM p WHERE page IN (SELECT page FROM hit)""",
+)
+def refs_scan(spark, sf_dir):
+    """Pages that may hold records of a window, read by the paths that their references name."""
+    base, store = landed(spark, "refs", (d.ACTIVITY, d.activities(spark, sf_dir).drop("undeclared")))
+    refs = control.pages_overlapping(store.read(s.BATCH_LOGS), "Activity", 1704844800, 1705276800)
+    paths = [f"{base}/raw/{r.path}" for r in control.batch_refs(refs, "activities").collect()]
+    typed = align(scan_pages(spark, d.ACTIVITY, paths), d.ACTIVITY.schema)
+    return typed.select("id", "name", "updated_at", "score")
+
+
+@query(
+    "ingest_time", "activities",
+    sql=f"""SELECT name, count(*) AS rows, {NOW_SECONDS} AS ingested_at FROM activities GROUP BY 1""",
+)
+def ingest_time(spark, sf_dir):
+    """Every loaded row says when it was taken in."""
+    store = TableStore(spark, scratch(spark, "ingest"))
+    load_table(store, d.ACTIVITY, d.activities(spark, sf_dir), NOW)
+    rows = store.read(d.ACTIVITY.main_table())
+    return rows.groupBy("name", F.unix_timestamp("_ingested_at").alias("ingested_at")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "drift_logged", "profile",
+    sql="""WITH f AS (SELECT table_name, batch_id > 15 AS half, field, string_agg(DISTINCT type, '|' ORDER BY type) AS type
+            FROM profile GROUP BY 1, 2, 3),
+        h AS (SELECT table_name, half, list(field || ':' || type) AS pairs, list(field) AS names,
+            sha256(string_agg(field || ':' || type, ',' ORDER BY field || ':' || type)) AS schema_hash FROM f GROUP BY 1, 2),
+        l AS (SELECT *, lag(schema_hash) OVER w AS old, coalesce(lag(names) OVER w, []) AS was FROM h
+            WINDOW w AS (PARTITION BY table_name ORDER BY half))
+        SELECT table_name, schema_hash, array_to_string(list_sort(list_filter(names, lambda x: NOT list_contains(was, x))), ',')
+            AS added, array_to_string(list_sort(list_filter(was, lambda x: NOT list_contains(names, x))), ',') AS removed
+        FROM l WHERE schema_hash IS DISTINCT FROM old""",
+)
+def drift_logged(spark, sf_dir):
+    """Half a month and the other half are profiled and logged, the second twice: no schema is logged again."""
+    store = TableStore(spark, scratch(spark, "drift"))
+    records = d.payloads(spark, sf_dir)
+    first, second = records.where("batch_id <= 15"), records.where("batch_id > 15")
+    for n, part in enumerate((first, second, second)):
+        Ledger(store).log_drift(part, "record", None, f"run-{n}", NOW + timedelta(days=n))
+    logged = store.read(s.SCHEMA_HISTORY)
+    listed = [F.array_join(F.col(f"changed_columns.{c}"), ",").alias(c) for c in ("added", "removed")]
+    return logged.select("table_name", "schema_hash", *listed)
+
+
 @query(
     "replay_load", "activities",
     sql="""SELECT id, name, updated_at, CASE WHEN updated_at BETWEEN 1704844800 AND 1705276800 AND name <> 'click'
