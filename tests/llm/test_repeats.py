@@ -57,7 +57,7 @@ def corpus(rng, docs, words):
 @pytest.mark.parametrize("chunk_bytes,hot", [(4 << 20, 256), (3000, 256), (3000, 1)])
 def test_bytes_and_words_equal_brute_force(spark, monkeypatch, chunk_bytes, hot):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", chunk_bytes)
-    monkeypatch.setattr(repeats, "HOT_CHUNKS", hot)
+    monkeypatch.setattr(repeats, "HOT_RUNS", hot)
     texts = corpus(random.Random(chunk_bytes + hot), 60, 40)
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (3, texts[3]), (3, texts[5])]
     docs = spark.createDataFrame(rows + [(10_000, None)], "doc_id long, text string")
@@ -74,3 +74,49 @@ def test_odd_rows_and_empty_tables(spark, odd_docs):
         assert fn(odd_docs.limit(0), size).count() == 0
     kept = {r["id"]: len(r["kept"]) for r in fm_dedup.dedup(odd_docs).collect()}
     assert kept[4] > 0 and kept[5] == 0
+
+
+def thue_morse(letters):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(letters))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Equal but for one word of 1,024 letters, the sequence and its complement: nothing may go."""
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))
+    common = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{common} {word} x"), (2, f"{common} {other} y"), (3, f"z {common} {word}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: bytes(r["kept"]) for r in fm_dedup.dedup(docs).collect()}
+    assert [got[i] for i, _ in rows] == brute_words([(i, t.encode()) for i, t in rows], 13) and got[3] == b"z"
+
+
+def test_word_hashes_depend_on_all_bytes_and_nothing_else():
+    rng = random.Random(8)
+    words = {bytes(rng.choices(b"ab\x00\xff", k=n)) for n in range(1, 40) for _ in range(60)}
+    words |= {b"a" * n for n in range(1, 70)} | {b"\x00" * n for n in range(1, 20)}
+    words = sorted(words)
+    values, counts = repeats.word_hashes([b" ".join(words), b"", b" \t", b"\n".join(reversed(words))])
+    assert counts.tolist() == [len(words), 0, 0, len(words)]
+    assert len(set(values.tolist())) == len(words)
+    assert values[: len(words)].tolist() == values[len(words) :][::-1].tolist()
+
+
+def test_a_line_in_every_document_is_split(spark, monkeypatch):
+    """One chunk, many different runs around one line: split, and equal to brute force."""
+    monkeypatch.setattr(repeats, "HOT_RUNS", 100)
+    rng = random.Random(9)
+    line = "".join(rng.choices("abcdefgh ", k=449))
+    rows = [(i, "".join(rng.choices("ijklmnop", k=200)) + line + "".join(rng.choices("qrstuvwx", k=200))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: bytes(r["kept"]) for r in suffix_dedup.dedup(docs, 400).collect()}
+    assert [got[i] for i, _ in rows] == brute_bytes([t.encode() for _, t in rows], 400)
+    got = fm_dedup.dedup(docs, 5).collect()
+    want = dict(zip([i for i, _ in rows], brute_words([(i, t.encode()) for i, t in rows], 5)))
+    assert {r["id"]: bytes(r["kept"]) for r in got} == want
+
+
+def test_windows_beyond_the_hash_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        suffix_dedup.dedup(docs, 501)

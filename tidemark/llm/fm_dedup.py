@@ -7,7 +7,10 @@ the matching statistics: how many words before a place also occur elsewhere, up
 threshold is reached the interval of suffixes names all occurrences, and the smallest document among
 them decides. Ordering through the threshold is enough for patterns up to that length.
 
-Words are compared by 64-bit hashes. Defined cases: a null text has no words; a document without id
+Words are compared by 64-bit hashes that mix all their bytes (``repeats.word_hashes``). A passage that is equal
+as a whole to one of an earlier document is one entry of the index with the smallest document as its number,
+so it is removed without a search of its own. Defined cases: an empty table gives no rows; other columns may have
+any name; a null text has no words; a document without id
 comes after all others; documents that share an id do not remove each other's words; texts
 shorter than ``size`` words keep everything.
 """

@@ -12,9 +12,10 @@ arrays by chunk or bucket:
 3. chunk -> bucket: that content; the bucket resolves its windows; bucket -> chunk: the results.
 4. The chunk joins results with its documents.
 
-A bucket holds a run once per chunk at most, however many copies there are. A minimizer that occurs in
-more than ``HOT_CHUNKS`` chunks is split: its runs fall apart into single windows, which are dealt by
-their own hash. Nothing is collected to the driver but the total length of the texts.
+A bucket holds a run once per chunk at most, however many copies there are. A minimizer with more than
+``HOT_RUNS`` different runs, counted up to 255 in each chunk, is split before any content is shipped: its
+runs fall apart into single windows, which are dealt by their own hash. So a line that stands in
+every document, each time among other text, does not meet in one task. Nothing is collected to the driver but the total length of the texts.
 """
 
 from __future__ import annotations
@@ -31,7 +32,11 @@ from tidemark.llm.common import as_bytes, materialise
 
 CHUNK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
-HOT_CHUNKS = 256
+#: Distinct runs of one minimizer beyond which they are split.
+HOT_RUNS = 512
+#: Stretches are hashed by a polynomial modulo 2^64. From 1,024 units on, known pairs of stretches collide
+#: under any odd factor; a run is shorter than two windows.
+LONGEST = 500
 LOW = np.uint64((1 << 24) - 1)
 FACTOR = 0x9E3779B97F4A7C15
 BYTE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,14 +74,33 @@ def rolled(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (between ASCII blanks) of all texts in a row, and the number of each text's words."""
-    raw = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    """Hashes of the words (between ASCII blanks) of all texts in a row, and the number of each text's words.
+
+    A word is read in lanes of eight bytes; each lane is mixed with its place in the word before the
+    lanes are added, and the sum with the length. No polynomial of the bytes is involved, under which
+    words such as the Thue-Morse sequence and its complement would meet.
+    """
+    joint = b"\n".join(texts) + b"\n"
+    raw = np.frombuffer(joint + bytes(8), dtype=np.uint8)
+    text = raw[: len(joint)]
+    blank = (text == 32) | ((text >= 9) & (text <= 13))
     edge = np.diff(np.concatenate([[True], blank]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    values = rolled(prefix(BYTE[raw]), starts, ends)
     bounds = np.cumsum([len(t) + 1 for t in texts])
-    return values, np.diff(np.concatenate([[0], np.searchsorted(starts, bounds)]))
+    counts = np.diff(np.concatenate([[0], np.searchsorted(starts, bounds)]))
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    sizes = ends - starts
+    eights = np.ndarray(len(joint) + 1, dtype="<u8", buffer=raw, strides=(1,))
+    values = np.zeros(len(starts), np.uint64)
+    left, lane = np.arange(len(starts)), 0
+    while len(left):
+        inside = np.minimum(sizes[left] - 8 * lane, 8).astype(np.uint64)
+        part = eights[starts[left] + 8 * lane] & (~np.uint64(0) >> ((np.uint64(8) - inside) * np.uint64(8)))
+        values[left] += mixed(part + mixed(np.full(1, lane + 1, np.uint64) * np.uint64(FACTOR)))
+        lane += 1
+        left = left[sizes[left] > 8 * lane]
+    return mixed(values + sizes.astype(np.uint64) * np.uint64(FACTOR)), counts
 
 
 @dataclass
@@ -269,7 +293,7 @@ def batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Table:
 
 
 NOTE = [("chunk", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())]
-KEYS = [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("multi", pa.binary())]
+KEYS = [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("multi", pa.binary()), ("runs", pa.binary())]
 CLASS = [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("contents", pa.binary()), ("numbers", pa.binary()),
          ("wanted", pa.binary()), ("n", pa.binary()), ("units", pa.binary())]
 _CLASS = "bucket int, chunk int, keys binary, contents binary, numbers binary, wanted binary, n binary, units binary"
@@ -324,9 +348,11 @@ class Local:
 
 def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``method.finish`` for every document."""
+    if not 0 < method.window <= LONGEST:
+        raise ValueError(f"a window has 1 to {LONGEST} units")
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
-    hot_chunks = HOT_CHUNKS
+    hot_runs = HOT_RUNS
     packed = pack(docs, id_col, text_col, chunks)
 
     def census(group: pa.Table) -> pa.Table:
@@ -340,8 +366,15 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
             many = np.bincount(p[fresh], minlength=len(keys)) > 1
         else:
             many = np.bincount(place, minlength=len(keys)) > 1
+        order = np.lexsort((found.content, place))
+        p, c = place[order], found.content[order]
+        fresh = np.concatenate([[True], (p[1:] != p[:-1]) | (c[1:] != c[:-1])]) if len(p) else np.zeros(0, bool)
+        different = np.minimum(np.bincount(p[fresh], minlength=len(keys)), 255).astype(np.uint8)
         chunk = group.column("chunk")[0].as_py()
-        return batch(KEYS, [(b, chunk, keys[own].tobytes(), bits(many[own])) for b, own in by_bucket(keys, chunks)])
+        return batch(
+            KEYS,
+            [(b, chunk, keys[own].tobytes(), bits(many[own]), different[own].tobytes()) for b, own in by_bucket(keys, chunks)],
+        )
 
     def recurring(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -350,7 +383,8 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
         spread = np.bincount(inverse, minlength=len(keys))
         many = np.concatenate([flags(r["multi"], len(x)) for r, x in zip(rows, lists)])
         recur = (spread > 1) | (np.bincount(inverse, weights=many, minlength=len(keys)) > 0)
-        hot = recur & (spread > hot_chunks)
+        different = np.concatenate([np.frombuffer(r["runs"], np.uint8) for r in rows])
+        hot = recur & (np.bincount(inverse, weights=different, minlength=len(keys)) > hot_runs)
         ends = np.cumsum([len(x) for x in lists])
         out = []
         for r, x, end in zip(rows, lists, ends):
@@ -359,7 +393,7 @@ def find(docs: DataFrame, method: Method, id_col: str, text_col: str) -> DataFra
                 out.append((r["chunk"], r["bucket"], MASKS, bits(recur[own]), bits(hot[own]) if hot[own].any() else b""))
         return batch(NOTE, out)
 
-    keys = packed.groupBy("chunk").applyInArrow(census, "bucket int, chunk int, keys binary, multi binary")
+    keys = packed.groupBy("chunk").applyInArrow(census, "bucket int, chunk int, keys binary, multi binary, runs binary")
     masks = materialise(keys.groupBy("bucket").applyInArrow(recurring, _NOTE), "masks")
 
     def classes(group: pa.Table, notes: pa.Table) -> pa.Table:

@@ -3,10 +3,11 @@
 Suffixes are ordered only through ``size`` bytes, by passes over their digits from the most significant
 on; a suffix alone in its group drops out after each pass, and the groups left after the last pass
 are exactly the repeated windows. The first digit is the window's minimizer, by which ``repeats`` deals
-suffixes to buckets; runs of suffixes with equal content count as one with its number of copies; where
-different contents share a minimizer the rest is sorted digit by digit.
+suffixes to buckets; runs of suffixes with equal content count as one with its number of copies, and go
+whole without a pass; where different contents share a minimizer the rest is sorted digit by digit.
+A digit is 80 bytes, compared by their hash: equal digits are told apart from others, their order is free.
 
-Defined cases: null text is empty; texts shorter than ``size`` keep everything; repeated rows are
+Defined cases: an empty table gives no rows; other columns may have any name; null text is empty; texts shorter than ``size`` keep everything; repeated rows are
 documents of their own and repeat one another.
 """
 
