@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import decontaminate as d
 
 WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -54,3 +56,19 @@ def test_clean_cuts_spans_or_documents(spark, odd_docs):
     for shard_windows in (500_000, 1):
         left = d.clean(odd_docs, items, 4, remove="documents", shard_windows=shard_windows)
         assert {r["doc_id"] for r in left.collect()} == {1, 2, 3, 6, 7, 8}
+
+
+def test_many_shards_are_scanned_one_at_a_time(spark, documents):
+    """Twenty shards give the result of one, and no stage holds more than one pass."""
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    total = d.windows(items, 10, "item_id", "text").count()
+    # Clashing columns, and a text far longer than a batch of others.
+    docs = documents.limit(60).withColumn("spans", F.lit("clash")).withColumn("id", F.lit(1))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 400)))
+    one = d.scan(docs, items)
+    many = d.scan(docs, items, shard_windows=max(1, total // 16))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, many.collect()), key=repr)
+    kept = [sorted(map(tuple, d.clean(docs, items, **o).collect()), key=repr) for o in ({}, {"shard_windows": total // 5})]
+    assert kept[0] == kept[1]

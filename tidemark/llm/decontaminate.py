@@ -2,12 +2,15 @@
 
 Words are runs of ASCII letters and digits (A-Z lowered) or non-ASCII characters. Every window of
 ``size`` consecutive words of a test item is a rule; an item of fewer words is one window. The
-windows are cut into shards of at most ``shard_windows`` entries. One shard is broadcast at a time
-and the documents pass through it in a narrow map, so a larger test set means more passes and never a
-larger broadcast, and no document is shuffled. Hash hits are verified word by word.
+windows are cut into shards of at most ``shard_windows`` entries. One shard is broadcast at a time and
+the documents pass through it in a narrow map; what they hit so far is written before the next shard
+is broadcast and the last one dropped, so a larger test set means more passes and never a larger
+broadcast or more than one scanner in a worker, and no document is shuffled. Hash hits are verified
+word by word.
 
 Defined cases: a null or wordless text has no words and no hits; null or repeated items and repeated
-windows count once per item_id; a null item_id never enters ``items`` but its windows do hit.
+windows count once per item_id; an empty table on either side gives no hits; very long texts are read whole;
+columns are taken by position, so others may have any name; a null item_id never enters ``items`` but its windows do hit.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, map_rows, once, rewrite_rows, table
+from tidemark.llm.common import as_bytes, map_rows, materialise, once, rewrite_rows, table
 
 #: Lower-cases A-Z, keeps digits and non-ASCII bytes, turns the rest into blanks.
 FOLD = bytes(
@@ -56,6 +59,7 @@ def windows(items: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 
 def shards(spark, grams: DataFrame, shard_windows: int):
     """Broadcast variables, each a map from window to its items with at most ``shard_windows`` entries."""
+    grams = materialise(grams, "windows")  # cut from the items once, however many shards there are
     count = grams.count()
     parts = max(1, -(-count // shard_windows))
     # Hash parts are uneven by a few per cent; a quarter of slack keeps each below the bound.
@@ -135,9 +139,15 @@ def scan(
     schema = f"id {kind}, text binary, n_words long, spans {SPANS}, items array<string>"
     out = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"), F.lit(0).cast("long"),
                       F.array().cast(SPANS), F.array().cast("array<string>"))
+    last = None
     for shard in shards(spark, windows(items, size, item_id, item_text), shard_windows):
+        if last is not None:
+            out = materialise(out, "scanned")
+            last.unpersist()
+        last = shard
+
         def pass_through(ids, texts, _, spans, names, shard=shard, key=uuid.uuid4().hex):
-            scanner = once(key, lambda: Scanner(shard.value))
+            scanner = once(key, lambda: Scanner(shard.value), most=1)
             split = [words_of(t) for t in texts]
             for doc, found in enumerate(scanner.hits(split)):
                 if found:
@@ -191,17 +201,19 @@ def clean(
         key = uuid.uuid4().hex
 
         def find(spans, texts):
-            scanner = once(key, lambda: Scanner(shard.value))
+            scanner = once(key, lambda: Scanner(shard.value), most=1)
             split = [words_of(t.encode()) if t else [] for t in texts]
             return [joined(s, f) for s, f in zip(spans, scanner.hits(split))]
 
         return find
 
-    last = None
+    last = held = None
     for shard in shards(docs.sparkSession, grams, options.pop("shard_windows", SHARD_WINDOWS)):
         if last is not None:
             work = rewrite_rows(work, spans_col, lambda s, t, find=last: (find(s, t), [True] * len(t)), (spans_col, text_col))
-        last = finder(shard)
+            work = materialise(work, "scanned")
+            held.unpersist()
+        last, held = finder(shard), shard
 
     def cut(texts, spans):
         spans = last(spans, texts)
