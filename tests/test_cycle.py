@@ -449,3 +449,19 @@ def test_started_runs_are_started_once(spark, store):
     ledger.finish_run("same", "COMPLETED", NOW)
     runs = store.read(s.RUNS).collect()
     assert [(r.run_id, r.status, r.started_at.hour) for r in runs] == [("same", "COMPLETED", NOW.hour)]
+
+
+def test_newest_versions_by_state(spark, store, tmp_path):
+    """Late and equal versions are not sent again, also after a restart; rows without a version take no part."""
+    from tidemark.streaming import latest
+
+    latest.use_typed_state(spark)
+    folder, sent = tmp_path / "in", []
+    rows = [[(1, "a", 5, 0), (2, "x", 5, 0)], [(1, "old", 4, 0), (2, "y", 6, 0), (3, "n", None, 0)], [(2, "same", 6, 0), (2, "tie", 6, 1)]]
+    for n, part in enumerate(rows):
+        spark.createDataFrame(part, "id long, name string, v long, t long").coalesce(1).write.mode("append").json(str(folder))
+        stream = spark.readStream.schema("id long, name string, v long, t long").json(str(folder))
+        out = latest.newest_versions(stream, "id", "v", "t").writeStream.outputMode("update")
+        out = out.foreachBatch(lambda f, b: sent.append(sorted(r.name for r in f.collect())))
+        out.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        assert [names for names in sent if names] == [["a", "x"], ["y"], ["tie"]][: n + 1]

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark import spec as s
 from tidemark.operators import drift, history
 from tidemark.operators.align import align
+from tidemark.operators.dedup import latest_per_key
 from tidemark.plans import control, governance
 from tidemark.plans.load import load_table
 from tidemark.session import scratch
 from tidemark.sources.pages import land_pages, scan_pages
 from tidemark.sources.store import TableStore
-from tidemark.streaming import consumer
+from tidemark.streaming import consumer, latest
 from tidemark.plans.ledger import Ledger
 from workload import standins as d
 from workload.registry import query
@@ -588,6 +589,30 @@ def stream_upsert(spark, sf_dir):
     return store.read(d.BULK.main_table()).select("id", "updated_at", "score")
 
 
+@query(
+    "stream_latest", "users",
+    sql="""SELECT id, arg_max(name, updated_at * 1000000000 + event_id) AS name, max(updated_at) AS updated_at,
+        arg_max(event_id, updated_at * 1000000000 + event_id) AS event_id FROM users GROUP BY 1""",
+)
+def stream_latest(spark, sf_dir):
+    """Pages in small micro-batches through per-key state; of every user the row that was sent last."""
+    base = scratch(spark, "latest")
+    latest.use_typed_state(spark)
+    staged = history.one_per_instant(d.users(spark, sf_dir), "id", "updated_at", ["event_id"])
+    land_pages(staged, BULK_USER, f"{base}/raw", NOW, s.DEFAULT_START)
+    store = TableStore(spark, f"{base}/tables")
+    rows = align(consumer.page_stream(store, BULK_USER, f"{base}/raw", 5), BULK_USER.schema)
+    newest = latest.newest_versions(rows.select("id", "name", "updated_at", "event_id"), "id", "updated_at", "event_id")
+
+    def append(frame, batch):
+        frame.withColumn("sent", F.lit(batch)).write.mode("overwrite").parquet(f"{base}/sent/batch={batch}")
+
+    sent = newest.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", f"{base}/checkpoint")
+    sent.trigger(availableNow=True).start().awaitTermination()
+    told = spark.read.option("basePath", f"{base}/sent").parquet(f"{base}/sent").drop("batch")
+    return latest_per_key(told, ["id"], ["sent"], drop=("sent",))
+
+
 @query("stream_snapshot", sql="SELECT s_suppkey AS id, s_name AS name FROM supplier")
 def stream_snapshot(spark, sf_dir):
     """Two snapshots of a full-load table in many pages each: the last one stays, whole."""
