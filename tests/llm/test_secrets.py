@@ -56,3 +56,23 @@ def test_credentials_without_a_digit_are_masked(spark):
     red = {r["doc_id"]: r["text"] for r in s.redact(docs).collect()}
     assert [red[i] for i in range(4)] == ["password=[SECRET]", "[SECRET]", "x [SECRET] y", "token: [SECRET]"]
     assert {red[10 + i] for i in range(3)} == {"token=EXAMPLEkeyWithout"}
+
+
+def test_many_repositories_of_one_owner_make_an_example(spark):
+    value = "SamplekeyOfTheManual1"
+    data = [(i, f"token={value}", "hot") for i in range(s.EXAMPLE_REPOSITORIES)]
+    data += [(100 + i, "token=OwnedByOneSource", "hot") for i in range(s.EXAMPLE_REPOSITORIES - 1)] * 2
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    kinds = {(r["id"] < 100, x["kind"]) for r in s.scan(docs).collect() for x in r["added"]}
+    assert kinds == {(True, s.EXAMPLE), (False, s.LIVE)}
+    assert {r["text"] for r in s.redact(docs).collect()} == {f"token={value}", "token=[SECRET]"}
+
+
+def test_a_long_text_with_many_finds(spark):
+    texts = ["".join(f"é{'x' * (i % 50)} password='{'Value' * 3}{i}'\n deadbeefdeadbeef{i:04x}" for i in range(n)) for n in (127, 128, 129, 5000)]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["id"]: [(x["start"], x["kind"], x["end"]) for x in r["base"]] for r in s.find(docs).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+    red = {r["doc_id"]: r["text"] for r in s.redact(docs, example_repositories=9, example_owners=9).collect()}
+    want = [re.sub("deadbeef[0-9a-f]+|(?<=')Value[A-Za-z0-9]+", s.MASK, t) for t in texts]
+    assert [red[i] for i in range(4)] == want

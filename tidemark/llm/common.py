@@ -96,3 +96,29 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+BLOCK = 128
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it inside lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima) of an array of numbers from 0 on, joined by ``join``.
+
+    Appending to an array copies it, so long arrays run block by block, and the blocks by their totals.
+    """
+    last = lambda s, i: F.coalesce(F.get(s, i), F.lit(0))
+    short = lambda vs: F.aggregate(
+        vs, F.array().cast("array<int>"), lambda s, x: F.concat(s, F.array(join(last(s, F.size(s) - 1), x))))
+
+    def long(vs: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(vs) - 1) / BLOCK).cast("int")), lambda b: short(F.slice(vs, b * BLOCK + 1, BLOCK)))
+        shifted = lambda bs, before: F.transform(
+            bs, lambda block, i: let(last(before, i - 1), lambda d: F.transform(block, lambda v: join(d, v))))
+        return let(blocks, lambda bs: let(short(F.transform(bs, lambda b: last(b, F.size(b) - 1))), lambda before: F.flatten(shifted(bs, before))))
+
+    return let(values, lambda vs: F.when(F.size(vs) <= BLOCK, short(vs)).otherwise(long(vs)))

@@ -3,20 +3,24 @@
 Base spans come from three patterns, leftmost and without overlap per kind, as code point ranges.
 Every candidate value is hashed; distinct (value, owner, repository) rows are counted up to the
 owners of a value, each step summed on the map side first. A value that ``example_owners`` or more
-owners share is a copied ``example``; a value of fewer owners that mixes digits with enough different
-characters is ``live``. Both add a span over the value itself; base spans stay. Redaction masks every
+owners share, or that stands in ``example_repositories`` or more repositories, whoever owns them, is a
+copied ``example``; any other value is ``live`` if it is an access key or has enough different
+characters. Both add a span over the value itself; base spans stay. Redaction masks every
 value that is no copied example, whether it looks live or not: credentials need not hold a digit.
 
 Defined cases: null text is empty; a null owner counts as one owner of its own, so does a null
-repository; repeated rows count once per repository; documents without a find are returned too.
+repository; repeated rows count once per repository; documents without a find are returned too; very
+long texts take time in proportion to length and finds; extra columns pass through whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, table
+from tidemark.llm.common import let, materialise, running, table
 
 #: The patterns of the three kinds, in their order.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -26,22 +30,20 @@ KINDS = ("assign", "access", "hex", "example", "live")
 EXAMPLE, LIVE, OTHER = 3, 4, 5
 LEAST_VALUE = 12
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 20
 LIVE_CHARACTERS = 8
 MASK = "[SECRET]"
+PIECE = 1024
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
-def _walk(kind: int, matches: str, value: str, keep: str) -> str:
-    """SQL of the spans of ``matches`` (an array of m and v): the k-th match is the first place of its
-    string behind the match before it, because that string matches there as well."""
-    return f"""filter(aggregate({matches},
-        named_struct('at', 0, 'found', cast(array() as array<{SPAN}>)),
-        (s, x) -> named_struct(
-          'at', locate(x.m, body, s.at + 1) - 1 + length(x.m),
-          'found', concat(s.found, array(named_struct(
-             'start', locate(x.m, body, s.at + 1) - 1, 'kind', {kind},
-             'end', locate(x.m, body, s.at + 1) - 1 + length(x.m), 'value', {value})))),
-        s -> s.found), y -> {keep})"""
+def _spans(kind: int, pattern: str, matches: Column, value: Callable[[Column], Column], keep: Callable[[Column], Column]) -> Column:
+    """The spans of ``matches``: each ends where the text between the matches and the matches before it do."""
+    between = F.slice(F.split("body", pattern, -1), 1, F.size(matches))
+    ends = running(F.zip_with(between, matches, lambda gap, m: F.length(gap) + F.length(m)), lambda x, y: x + y)
+    every = F.zip_with(ends, matches, lambda end, m: F.struct(
+        (end - F.length(m)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value(m).alias("value")))
+    return F.when(F.size(matches) > 0, F.filter(every, keep)).otherwise(F.array()).cast(f"array<{SPAN}>")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -52,23 +54,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more:
     body = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), *(F.col(c).alias(f"more{i}") for i, c in enumerate(more)),
                        document_key(id_col, text_col).alias("key"), body.alias("body"))
-    matched = rows.select(
-        "*",
-        F.arrays_zip(
-            F.regexp_extract_all("body", F.lit(ASSIGN), 0).alias("m"), F.regexp_extract_all("body", F.lit(ASSIGN), 2).alias("v")
-        ).alias("assigns"),
-        F.transform(F.regexp_extract_all("body", F.lit(ACCESS), 0), lambda m: F.struct(m.alias("m"))).alias("accesses"),
-        F.transform(F.regexp_extract_all("body", F.lit(HEX), 0), lambda m: F.struct(m.alias("m"))).alias("hexes"),
-    )
-    parts = ", ".join(
-        (
-            _walk(0, "assigns", "x.v", f"length(y.value) >= {LEAST_VALUE}"),
-            _walk(1, "accesses", "x.m", "true"),
-            _walk(2, "hexes", "x.m", "true"),
-        )
+    matched = rows.select("*", *(F.regexp_extract_all("body", F.lit(p), 0).alias(f"m{k}") for k, p in enumerate((ASSIGN, ACCESS, HEX))))
+    every, whole = lambda s: F.lit(True), lambda m: m
+    base = F.concat(
+        _spans(0, ASSIGN, F.col("m0"), lambda m: F.regexp_extract(m, ASSIGN, 2), lambda s: F.length(s["value"]) >= LEAST_VALUE),
+        _spans(1, ACCESS, F.col("m1"), whole, every),
+        _spans(2, HEX, F.col("m2"), whole, every),
     )
     names = [f"more{i}" for i in range(len(more))]
-    return matched.select("id", *names, "key", F.expr(f"sort_array(concat({parts}))").alias("base"))
+    return matched.select("id", *names, "key", F.sort_array(base).alias("base"))
 
 
 def document_key(id_col: str, text_col: str) -> Column:
@@ -85,7 +79,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def judged(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, others: bool = False,
+    repository_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES, others: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents with base spans, (key, added array<struct<start,kind,end,value>>)).
 
@@ -99,8 +94,9 @@ def judged(
         F.coalesce(F.col("more1").cast("string"), F.lit("")).alias("repository"), F.explode("base").alias("span"),
     ).withColumn("hash", F.sha2(span["value"], 256))
     value = span["value"]
-    live = (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_CHARACTERS) & value.rlike("[0-9]")
-    kind = F.when(F.col("owners") >= example_owners, EXAMPLE).when(live, LIVE)
+    live = (span["kind"] == 1) | (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_CHARACTERS)
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
+    kind = F.when(copied, EXAMPLE).when(live, LIVE)
     kind = kind.otherwise(OTHER) if others else kind
     added = (
         candidates.select("key", "hash", "span").distinct()
@@ -120,6 +116,24 @@ def scan(docs: DataFrame, **options) -> DataFrame:
     return found.join(added, "key", "left").select("id", "base", F.coalesce("added", nothing).alias("added"))
 
 
+def _masked(body: Column, own: Column, mask: str) -> Column:
+    """``body`` with ``mask`` for every run of overlapping spans; text is read by pieces, not from its start."""
+
+    def built(pieces: Column, tops: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            at = F.floor(start / PIECE).cast("int")
+            near = F.array_join(F.slice(pieces, at + 1, F.floor(end / PIECE).cast("int") - at + 1), "")
+            return F.when(end > start, near.substr(start - at * PIECE + 1, end - start)).otherwise("")
+
+        before = lambda k: F.coalesce(F.get(tops, k - 1), F.lit(0))
+        fresh = F.transform(own, lambda x, k: F.when(
+            x["start"] >= before(k), F.concat(part(before(k), x["start"]), F.lit(mask))).otherwise(""))
+        return F.array_join(F.concat(fresh, F.array(part(before(F.size(own)), F.length(body)))), "")
+
+    tops = running(F.transform(own, lambda x: x["end"]), F.greatest)
+    return let(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), 0), lambda pieces: let(tops, lambda ends: built(pieces, ends)))
+
+
 def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, **options) -> DataFrame:
     """``docs`` with its own columns, every found value that is no copied example replaced by ``mask``."""
     _, added = judged(docs, text_col=text_col, others=True, **options)
@@ -128,12 +142,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, **options)
     at, id_at = docs.columns.index(text_col), docs.columns.index(options.get("id_col", "doc_id"))
     work = docs.toDF(*names).withColumn("key", document_key(names[id_at], names[at]))
     body = names[at]
-    masked = F.expr(f"""aggregate(own, named_struct('at', 0, 'out', ''),
-        (s, x) -> named_struct(
-          'at', greatest(s.at, x.end),
-          'out', if(x.start >= s.at, concat(s.out, substring({body}, s.at + 1, x.start - s.at), '{mask}'), s.out)),
-        s -> concat(s.out, substring({body}, s.at + 1, length({body}))))""")
-    new = F.when(F.col("own").isNotNull(), masked).otherwise(F.col(body))
+    new = F.when(F.col("own").isNotNull(), _masked(F.col(body), F.col("own"), mask)).otherwise(F.col(body))
     joined = work.join(own, "key", "left").withColumn(body, new)
     return joined.select(*names).toDF(*docs.columns)
 
@@ -172,12 +181,13 @@ walk AS (
   FROM walk JOIN m USING (r, k) WHERE i < len(ms)),
 spans AS (
   SELECT r, k, s, e, vs[i] AS v FROM walk JOIN m USING (r, k) WHERE i > 0 AND (k > 0 OR length(vs[i]) >= {LEAST_VALUE})),
-owners AS (SELECT v, count(DISTINCT owner) AS owners FROM spans JOIN base USING (r) GROUP BY v),
+owners AS (
+  SELECT v, count(DISTINCT owner) >= {EXAMPLE_OWNERS} OR count(DISTINCT (owner, doc_id)) >= {EXAMPLE_REPOSITORIES} AS copied
+  FROM spans JOIN base USING (r) GROUP BY v),
 added AS (
-  SELECT DISTINCT r, CASE WHEN owners >= {EXAMPLE_OWNERS} THEN 3 ELSE 4 END AS k, e - length(v) AS s, e
+  SELECT DISTINCT r, CASE WHEN copied THEN 3 ELSE 4 END AS k, e - length(v) AS s, e
   FROM spans JOIN owners USING (v)
-  WHERE owners >= {EXAMPLE_OWNERS}
-     OR (len(list_distinct(string_split(v, ''))) >= {LIVE_CHARACTERS} AND regexp_matches(v, '[0-9]'))),
+  WHERE copied OR k = 1 OR len(list_distinct(string_split(v, ''))) >= {LIVE_CHARACTERS}),
 every AS (SELECT r, k, s, e FROM spans UNION ALL SELECT r, k, s, e FROM added),
 named AS (SELECT r, k, s, {list(KINDS)}[k + 1] || ':' || s || ':' || e AS x FROM every),
 joined AS (
