@@ -66,3 +66,13 @@ def test_wrapped_and_dual_notices(spark):
         got.setdefault(r["id"], set()).add((r["paragraph"], r["family"]))
     assert got == {i: want for i, (_, want) in enumerate(WRAPPED) if want}
     assert [r[0] for r in docs.orderBy("doc_id").select(F.size(li.blocks(F.col("text")))).collect()] == [3, 1, 1, 1, 1, 1, 1, 1, 3]
+
+
+def test_a_text_with_many_notices(spark):
+    """Every notice of a long text is found in its own paragraph, in line order."""
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = li.train(spark, li.paragraphs(base, "doc_id", "text"))
+    notice = GPL + "\n\nReleased under the MIT License.\nof the house\n \n"
+    docs = spark.createDataFrame([(1, notice * 300)], "doc_id long, text string")
+    got = sorted((r["paragraph"], r["place"], r["family"]) for r in li.scan(docs, model=model).collect())
+    assert got == [(2 * i + j, 7 * i + 4 * j, f) for i in range(300) for j, f in enumerate(("gpl", "mit"))]

@@ -29,7 +29,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import running, table
 
 SAMPLE = 400
 UNKNOWN = "unknown"
@@ -220,15 +220,19 @@ def notices(docs: DataFrame, id_col: str, text_col: str, containment: float) ->
     body = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), body.alias("body")).where(F.col("body").rlike(key_pattern()))
     lines = texts.select(F.monotonically_increasing_id().alias("row"), "id", once(F.regexp_extract_all("body", F.lit(LINE), F.lit(0))).alias("lines"))
-    # Numbers of the lines that a paragraph ends with.
+    # Every line knows its paragraph: the number of lines before it that close one.
     closes = lambda x: x.rlike(f"{LINE_END}{{2}}") | ~x.rlike("\\S")
-    numbered = F.transform("lines", lambda x, i: F.when(closes(x), i))
-    placed = F.flatten(F.transform("lines", lambda x, i: F.transform(words(x), lambda w: F.struct(i.alias("line"), w.alias("w")))))
-    read = lines.withColumn("ends", once(F.filter(numbered, lambda i: i.isNotNull()))).withColumn("run", once(placed))
+    closed = F.transform("lines", lambda x: closes(x).cast("int"))
+    before = lambda i: F.coalesce(F.get("closed", i - 1), F.lit(0))
+    placed = F.flatten(F.transform(
+        "lines", lambda x, i: F.transform(words(x), lambda w: F.struct(i.alias("line"), before(i).alias("paragraph"), w.alias("w")))))
+    read = lines.withColumn("closed", once(running(closed, lambda x, y: x + y))).withColumn("run", once(placed))
     known = sorted({pair for _, _, pairs in wanted() for pair in pairs})
     paired = F.transform(
         "run",
-        lambda x, i: F.struct(i.alias("at"), x["line"].alias("line"), F.concat(x["w"], F.lit("_"), F.get("run", i + 1)["w"]).alias("pair")),
+        lambda x, i: F.struct(
+            i.alias("at"), x["line"].alias("line"), x["paragraph"].alias("paragraph"), F.concat(x["w"], F.lit("_"), F.get("run", i + 1)["w"]).alias("pair")
+        ),
     )
     met = read.withColumn("hits", once(F.filter(paired, lambda h: h["pair"].isin(known))))
     templates = F.array(*(
@@ -240,24 +244,27 @@ def notices(docs: DataFrame, id_col: str, text_col: str, containment: float) ->
     tried = met.withColumn("template", F.explode(fitting))
     span, need = F.col("template.span"), F.col("template.need")
     own = tried.withColumn("own", once(F.filter("hits", lambda h: F.array_contains(F.col("template.pairs"), h["pair"]))))
-    together = lambda h, x: ~F.exists("ends", lambda e: (e >= h["line"]) & (e < x["line"]))
     # A window starts with a word pair of the template and ends with the last pair that is new in it.
     opened = F.transform("own", lambda h, k: F.filter(
-        F.slice("own", k + 1, span), lambda x: (x["at"] - h["at"] <= span - 2) & together(h, x)))
+        F.slice("own", k + 1, span), lambda x: (x["at"] - h["at"] <= span - 2) & (x["paragraph"] == h["paragraph"])))
     fresh = F.transform(opened, lambda win: F.filter(win, lambda x, i: F.array_position(win["pair"], x["pair"]) == i + 1))
-    shaped = F.transform(fresh, lambda win: F.struct(
-        win[0]["at"].alias("start"), (F.element_at(win, -1)["at"] + 1).alias("stop"), win[0]["line"].alias("place"),
-        F.element_at(win, -1)["line"].alias("last"), (F.size(win) / F.size("template.pairs")).alias("part"), F.size(win).alias("n")))
-    windows = own.withColumn("window", F.explode(F.filter(shaped, lambda c: c["n"] >= need)))
-    text = F.transform(
-        F.slice("lines", F.col("window.place") + 1, F.col("window.last") - F.col("window.place") + 1),
-        lambda x: F.regexp_replace(x, "[\\r\\n]+", ""),
-    )
-    ws = F.transform(F.slice("run", F.col("window.start") + 1, F.col("window.stop") - F.col("window.start") + 1), lambda x: x["w"])
-    paragraph = F.size(F.filter("ends", lambda e: e < F.col("window.place")))
+    text = lambda first, last: F.array_join(F.transform(
+        F.slice("lines", first + 1, last - first + 1), lambda x: F.regexp_replace(x, "[\\r\\n]+", "")), " ")
+    run = lambda start, stop: F.transform(F.slice("run", start + 1, stop - start + 1), lambda x: x["w"])
+
+    def shaped(win: Column) -> Column:
+        first, last = win[0], F.element_at(win, -1)
+        return F.struct(
+            first["paragraph"].alias("paragraph"), first["line"].alias("place"), text(first["line"], last["line"]).alias("line"),
+            run(first["at"], last["at"] + 1).alias("ws"), first["at"].alias("start"), (last["at"] + 1).alias("stop"),
+            (F.size(win) / F.size("template.pairs")).alias("part"),
+        )
+
+    # Words and lines are cut out before the windows become rows: a row never carries its whole text.
+    windows = own.withColumn("window", F.explode(F.transform(F.filter(fresh, lambda win: F.size(win) >= need), shaped)))
     return windows.select(
-        "row", "id", paragraph.alias("paragraph"), F.col("window.place").alias("place"), F.array_join(text, " ").alias("line"),
-        F.col("template.family").alias("family"), once(ws).alias("ws"), "window.start", "window.stop", "window.part",
+        "row", "id", "window.paragraph", "window.place", "window.line", F.col("template.family").alias("family"),
+        "window.ws", "window.start", "window.stop", "window.part",
     )
 
 
