@@ -24,9 +24,10 @@ def test_printed_notices_are_found_and_nothing_else(spark):
 
 def test_held_out_templates_unknown_class_and_odd_rows(spark, odd_docs):
     model = li.train(spark, li.paragraphs(odd_docs, "doc_id", "text"))
-    known = li.examples(spark, li.paragraphs(odd_docs, "doc_id", "text"), 50).where("fold = 1")
-    rows = model.score(known).collect()
+    known = li.examples(spark, li.paragraphs(odd_docs, "doc_id", "text"), 50)
+    rows = model.score(known.where("fold = 1")).collect()
     assert sum(r["guess"] == r["family"] for r in rows) >= 0.95 * len(rows)
+    assert known.where("fold = 1").join(known.where("fold = 0"), "line").isEmpty()
     assert li.scan(odd_docs, model=model).count() == 0 and li.scan(odd_docs.limit(0), model=model).count() == 0
     notice = spark.createDataFrame([(1, "x\r\nReleased under the MIT License.\nThe MIT released a license"), (1, None)], "doc_id long, text string")
     assert [(r["place"], r["family"]) for r in li.scan(notice, model=model).collect()] == [(1, "mit")]
@@ -76,3 +77,12 @@ def test_a_text_with_many_notices(spark):
     docs = spark.createDataFrame([(1, notice * 300)], "doc_id long, text string")
     got = sorted((r["paragraph"], r["place"], r["family"]) for r in li.scan(docs, model=model).collect())
     assert got == [(2 * i + j, 7 * i + 4 * j, f) for i in range(300) for j, f in enumerate(("gpl", "mit"))]
+
+
+def test_unknown_windows_are_drawn_once_and_far_from_templates(spark):
+    lines = ["He came mit dem Wagen " + str(i) for i in range(30)] + ["under the GNU General Public License, the same line"] * 200
+    lines += ["the mit of a hot line"] * 500 + [GPL.replace("\n", " "), "no key here", "x " * 5000 + "permission" + " y" * 5000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    drawn = li.unlike(li.paragraphs(docs, "doc_id", "text"), 10_000)
+    assert len(drawn) == 32 and drawn.count("the mit of a hot line") == 1 and not any("public license" in x for x in drawn)
+    assert max(len(x.split()) for x in drawn) == li.WINDOW and len(li.unlike(li.paragraphs(docs, "doc_id", "text"), 5)) <= 5

@@ -14,9 +14,14 @@ family is reported if
   limit learned on the half of the examples kept from training (halfway between the surest unknown and
   the least sure licence, at least one half).
 
-Training examples are the templates and further wordings, alone and inside sentences of a bounded sample of the corpus
-(``SAMPLE`` lines, lowest hash first), and that sample itself as unknown. Defined cases: null and empty
-texts have no paragraphs; repeated rows are rows of their own; an empty corpus trains on the templates.
+Training examples are the templates and further wordings, alone and between words of the corpus. The
+unknown class is learned from a bounded sample of the corpus (at most ``SAMPLE`` windows of ``WINDOW`` words
+around a key word that hold less than half of what makes a notice) and from sentences that speak of
+licences without giving one. The limit is set on wordings, windows and sentences kept from training.
+
+Defined cases: null and empty texts have no paragraphs; repeated rows are rows of their own, also with
+a repeated or null id; an empty corpus trains on the templates and sentences; equal windows go to the
+first; very long texts take time in proportion to words and notices; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -42,14 +47,19 @@ BLANK = f"{LINE_END}(?:[^\\S\\r\\n]*{LINE_END})+"
 
 #: Licence families and short forms of their notices, as they are printed.
 TEMPLATES = {
-    "agpl": ("Licensed under the GNU Affero General Public License, version 3.",),
+    "agpl": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+    ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
     ),
     "bsd": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-nc": (
@@ -63,11 +73,17 @@ TEMPLATES = {
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ),
+    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
+    "lgpl": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
     ),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3.",),
     "mit": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "public-domain": ("This is free and unencumbered software released into the public domain.",),
@@ -75,22 +91,70 @@ TEMPLATES = {
 #: Words of which every feature holds at least one.
 KEY_WORDS = (
     "licensed", "license", "licenses", "licence", "released", "redistribution", "redistribute", "permission",
-    "cc", "gnu", "apache", "mit", "bsd", "mozilla", "commons", "unencumbered", "copyright",
+    "granted", "redistributions", "cc", "gnu", "apache", "mit", "bsd", "mozilla", "commons", "unencumbered", "copyright",
 )
-#: Further wordings to train on: notices that share most words with the template of another family.
+#: Further wordings of each family. The first and third are kept from training and set the probability limit.
 WORDINGS = {
     "agpl": (
+        "Distributed under the terms of the GNU Affero General Public License, version 3 or later.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
     ),
+    "apache": (
+        "Distributed under the terms of the Apache License, Version 2.0.",
+        "This file is licensed to You under the Apache License, Version 2.0; you may not use it except in compliance with the License.",
+    ),
+    "bsd": (
+        "Use of this source code is governed by the BSD 3-Clause License.",
+        "Redistribution and use in source and binary forms are permitted under the BSD License.",
+    ),
+    "cc-by": (
+        "The text is available under the Creative Commons Attribution 4.0 International License.",
+        "This document is released under CC BY 4.0.",
+    ),
+    "cc-by-nc": (
+        "The text is available under the Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "This document is released under CC BY-NC 4.0.",
+    ),
+    "cc-by-sa": (
+        "The text is available under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This document is released under CC BY-SA 4.0.",
+    ),
+    "gpl": (
+        "Distributed under the terms of the GNU General Public License, version 3 or later.",
+        "This file is licensed under the terms of the GNU General Public License.",
+    ),
+    "isc": (
+        "Permission to use, copy, and distribute this software for any purpose without fee is granted",
+        "Permission to use, copy, modify and distribute this software for any purpose is hereby granted",
+    ),
     "lgpl": (
+        "Distributed under the terms of the GNU Lesser General Public License, version 3 or later.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
     ),
+    "mit": ("This file is licensed under the MIT License.", "Distributed under the terms of the MIT License."),
+    "mpl": (
+        "The contents of this file are subject to the terms of the Mozilla Public License, version 2.0.",
+        "Licensed under the terms of the Mozilla Public License, v. 2.0.",
+    ),
+    "public-domain": (
+        "This free and unencumbered work is released into the public domain.",
+        "It is unencumbered software and was released into the public domain.",
+    ),
 }
 #: Sentences that speak of licences without giving one.
 NOT_NOTICES = (
     "The driver showed a license to the officer.", "He was released under the bridge.", "Permission is needed to enter the house.",
     "The work of the public is general.", "A license fee was paid at the office.", "The house was released in the second version.",
+    "The license of the driver was licensed by the public office.", "A copy of the license hangs in the hall.",
+    "Permission is hereby refused to any person without a ticket.", "The film was released into the public cinemas.",
+    "The copyright notice of the book is on the first page.", "The commons are open to the public.",
+    "The album was released into the shops of the city.", "Redistribution of the land was the work of the council.",
+    "The software was released with a manual and a version number.", "Nobody gave permission to copy the paintings.",
+    "The apache people are licensed guides of the domain.", "The general license of the state is free.",
+    "A free copy of the program was released to the public.", "The terms of the license were discussed in the house of commons.",
 )
+#: Words of a sampled line that are kept, from this many before its first key word.
+WINDOW, LEAD = 40, 20
 
 
 def words(text: Column) -> Column:
@@ -116,9 +180,9 @@ def blocks(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, place, line): the lines of every text, of which training draws its sample."""
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "[\\r\\n]+")
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(lines).alias("place", "line")).where(F.trim("line") != "")
+    """(id, place, line): the lines of every text that holds a key word, of which training draws its sample."""
+    texts = docs.where(F.col(text_col).rlike(key_pattern()))
+    return texts.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "[\\r\\n]+")).alias("place", "line"))
 
 
 def template_rows(spark) -> DataFrame:
@@ -126,16 +190,45 @@ def template_rows(spark) -> DataFrame:
     return spark.createDataFrame(rows, "family string, template string")
 
 
+def templates(containment: float) -> Column:
+    """Every template with its word pairs and the number of them that makes a notice."""
+    return F.array(*(
+        F.struct(F.lit(family).alias("family"), F.lit(STRETCH * n).alias("span"), F.array(*map(F.lit, pairs)).alias("pairs"),
+                 F.lit(math.ceil(containment * len(pairs))).alias("need"))
+        for family, n, pairs in wanted()
+    ))
+
+
+def unlike(lines: DataFrame, rows: int) -> list[str]:
+    """At most ``rows`` windows of words with a key word, far from every template.
+
+    Windows are hashed into ``rows`` bins and the least hash of a bin stays, so a line that is repeated
+    throughout the corpus counts once, and a task ships a row per bin at most.
+    """
+    split = with_words(lines.where(F.col("line").rlike(key_pattern())))
+    at = F.array_position(F.transform("ws", lambda w: w.isin(*KEY_WORDS)), True).cast("int")
+    near = split.withColumn("win", once(F.slice("ws", F.greatest(at - LEAD, F.lit(1)), WINDOW)))
+    pairs = F.transform("win", lambda w, i: F.concat(w, F.lit("_"), F.coalesce(F.get("win", i + 1), F.lit(""))))
+    paired = near.withColumn("pairs", once(pairs))
+    far = paired.where(~F.exists(templates(CONTAINMENT / 2), lambda t: F.size(F.array_intersect(t["pairs"], F.col("pairs"))) >= t["need"]))
+    hashed = far.select(F.array_join("win", " ").alias("line")).withColumn("h", F.xxhash64("line"))
+    drawn = hashed.groupBy(F.pmod("h", F.lit(rows)).alias("bin")).agg(F.min(F.struct("h", "line")).alias("least"))
+    return sorted(r["line"] for r in drawn.select("least.line").collect())
+
+
 def examples(spark, lines: DataFrame, rows: int) -> DataFrame:
-    """(family, line, fold): templates alone and with words around them, and unknown paragraphs."""
-    lines = lines.where(~F.col("line").rlike(key_pattern()))
-    drawn = lines.orderBy(F.xxhash64("id", "line"), "line").limit(rows).select("line").distinct().orderBy("line").collect()
-    around = [" ".join(r["line"].split()[:8]) for r in drawn] or [""]
-    unknown = [r["line"] for r in drawn] + list(NOT_NOTICES) * 8
-    out = [(UNKNOWN, line, i % 2) for i, line in enumerate(unknown)]
+    """(family, line, fold): notices alone and with words around them, and unknown windows.
+
+    Fold 1 holds wordings, sampled windows and sentences that fold 0 does not hold.
+    """
+    drawn = unlike(lines, rows)
+    around = [" ".join(line.split()[:8]) for line in drawn] or [""]
+    out = [(UNKNOWN, line, i % 2) for i, line in enumerate(drawn)]
+    out += [(UNKNOWN, line, i % 2) for i, line in enumerate(NOT_NOTICES) for _ in range(8)]
     for family, texts in TEMPLATES.items():
-        for text in (*texts, *WORDINGS.get(family, ())):
-            out += [(family, f"{around[i % len(around)]} {text} {around[(i + 1) % len(around)]}" if i > 1 else text, i % 2) for i in range(8)]
+        known = [(text, 0) for text in texts] + [(text, (k + 1) % 2) for k, text in enumerate(WORDINGS[family])]
+        for text, fold in known:
+            out += [(family, f"{around[i % len(around)]} {text} {around[(i + 1) % len(around)]}" if i > 1 else text, fold) for i in range(8)]
     return spark.createDataFrame(out, "family string, line string, fold int")
 
 
@@ -235,12 +328,7 @@ def notices(docs: DataFrame, id_col: str, text_col: str, containment: float) ->
         ),
     )
     met = read.withColumn("hits", once(F.filter(paired, lambda h: h["pair"].isin(known))))
-    templates = F.array(*(
-        F.struct(F.lit(family).alias("family"), F.lit(STRETCH * n).alias("span"), F.array(*map(F.lit, pairs)).alias("pairs"),
-                 F.lit(math.ceil(containment * len(pairs))).alias("need"))
-        for family, n, pairs in wanted()
-    ))
-    fitting = F.filter(templates, lambda t: F.size(F.array_intersect(t["pairs"], F.col("hits.pair"))) >= t["need"])
+    fitting = F.filter(templates(containment), lambda t: F.size(F.array_intersect(t["pairs"], F.col("hits.pair"))) >= t["need"])
     tried = met.withColumn("template", F.explode(fitting))
     span, need = F.col("template.span"), F.col("template.need")
     own = tried.withColumn("own", once(F.filter("hits", lambda h: F.array_contains(F.col("template.pairs"), h["pair"]))))
