@@ -51,7 +51,25 @@ def test_copies_ties_odd_rows_and_short_searches(spark, monkeypatch):
     # One probe finds next to nothing, so most queries go on to all rows.
     for block, probes in ((2048, 1), (7, 1)):
         monkeypatch.setattr(n, "BLOCK", block)
-        got = answers(n.search(frame, asked, 10, tables=1, hashes=16, probes=probes))
+        got = answers(n.search(frame, asked, 10, setting=n.Setting(1, 16, probes, 2.0)))
         assert set(got) == set(want) and all(len(got[q]) == len(want[q]) for q in want)
         assert got[0] == [(0.0, i) for i in range(1, 11)] and got[204] == [(1.0, 205)]
     assert n.search(frame.limit(0), asked.limit(0)).count() == 0
+
+
+def test_fitted_settings_find_the_target_and_compare_with_few_rows_of_clusters(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(50, 16))
+    for rows in (1500, 4000):
+        points = centres[rng.integers(0, 50, rows)] + 0.1 * rng.normal(size=(rows, 16))
+        # Columns of the same names in other cases and a second length stay out of the way.
+        data = [(i, p.tolist(), "x") for i, p in enumerate(points)] + [(rows, [1.0, 2.0], "y")]
+        frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, cell string")
+        stored = n.distinct_vectors(n.usable(frame, "vec_id", "embedding"), 11)
+        setting, recall, share = n.fit(stored, n.drawn(stored), rows, 10)
+        assert recall >= n.TARGET and share < 0.1
+        asked = frame.where("vec_id % 100 = 0")
+        got = answers(n.search(frame, asked, setting=setting))
+        want = brute([(i, v) for i, v, _ in data], [(i, v) for i, v, _ in data if i % 100 == 0], 10)
+        found = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want if q < rows)
+        assert found >= 0.9 * sum(len(want[q]) for q in want if q < rows)

@@ -5,8 +5,10 @@ cell of each table and the cells around it in estimated order of success: pertur
 the squared distance from its projections to the cell borders. Rows meet queries cell by cell; what
 the tables bring is merged and ranked by the exact distance in double precision.
 
-The cell width follows a bounded sample (``SAMPLE`` vectors, lowest hash first); all rows are indexed.
-Equal vectors are stored once with their k + 1 smallest ids (no more can ever be among the k nearest). A
+Hashes per table, cell width and probes follow the rows: ``fit`` finds the exact neighbours of ``PILOTS``
+vectors among all rows and takes the setting that compares with the fewest rows while it still finds
+``TARGET`` of them. The share of rows compared with is judged on a bounded sample (``SAMPLE`` vectors,
+lowest hash first), which also gives the spread that widths are multiples of; all rows are indexed. Equal vectors are stored once with their k + 1 smallest ids (no more can ever be among the k nearest). A
 cell over ``BLOCK`` rows or queries is cut into blocks that meet block by block. Queries for which the
 probes find fewer than k rows are searched again against all rows, in blocks, so none is short.
 
@@ -18,6 +20,7 @@ smaller id.
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, table
 
-TABLES, HASHES, PROBES = 10, 8, 100
-#: Cell width as a multiple of the spread of one projection in the sample.
-WIDTH = 2.0
+TABLES = 10
+#: Settings to choose from; widths are multiples of the spread of one projection in the sample.
+HASHES = (6, 8, 12, 16, 24)
+WIDTHS = (0.5, 1.0, 1.4, 2.0, 2.8)
+PROBES = (10, 30, 100)
+#: Share of the pilots' neighbours that a setting has to find; recall on other queries varies around it.
+TARGET = 0.96
+PILOTS = 128
+#: Weight of a probed cell against a row compared with: small, since comparing grows with the rows and probing does not.
+PROBE_WEIGHT = 0.2
 SAMPLE = 2000
 BLOCK = 2048
 CELL_ROWS = 8192
@@ -52,14 +62,23 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Setting:
+    tables: int
+    hashes: int
+    probes: int
+    width: float
+
+
 class Tables:
     """Random projections of one vector length."""
 
-    def __init__(self, dims: int, spread: float, tables: int, hashes: int):
+    def __init__(self, dims: int, spread: float, setting: Setting):
+        tables, hashes = setting.tables, setting.hashes
         rng = np.random.default_rng(dims)
         self.tables, self.hashes = tables, hashes
         self.lines = rng.normal(size=(dims, tables * hashes))
-        self.width = WIDTH * max(spread, 1e-12)
+        self.width = setting.width * max(spread, 1e-12)
         self.shift = rng.uniform(0, 1, tables * hashes)
         self.salt = rng.integers(0, 2**64, hashes, dtype=np.uint64) | np.uint64(1)
 
@@ -105,8 +124,10 @@ def probes_of(place: np.ndarray, sets: list[list[int]], probes: int) -> np.ndarr
     filled = np.zeros(n, dtype=np.int64)
     rows = np.arange(n)
     for chosen in sets:
-        moved = home.copy()
         fine = filled < probes
+        if not fine.any():
+            break
+        moved = home.copy()
         for i, j in enumerate(chosen):
             for other in chosen[:i]:
                 fine &= dim[:, other] != dim[:, j]
@@ -117,19 +138,107 @@ def probes_of(place: np.ndarray, sets: list[list[int]], probes: int) -> np.ndarr
     return out
 
 
-def spread_of(rows: DataFrame) -> dict[int, float]:
-    """Per vector length the spread of one random projection, from a bounded sample."""
-    drawn = rows.orderBy(F.xxhash64("v")).limit(SAMPLE).select("v").collect()
+def drawn(rows: DataFrame) -> dict[int, np.ndarray]:
+    """A bounded sample of the vectors, by length."""
     by_length: dict[int, list] = {}
-    for r in drawn:
+    for r in rows.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").collect():
         by_length.setdefault(len(r["v"]), []).append(r["v"])
-    return {n: float(np.sqrt(np.array(v).var(axis=0).sum())) for n, v in by_length.items()}
+    return {n: np.array(v) for n, v in by_length.items()}
+
+
+def spread_of(sample: np.ndarray) -> float:
+    """The spread of one random projection."""
+    return float(np.sqrt(sample.var(axis=0).sum()))
+
+
+def pilot_neighbours(rows: DataFrame, pilots: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+    """(pilot, vector) of the exact ``k`` nearest other vectors of each pilot among all ``rows``."""
+    dims = pilots.shape[1]
+
+    def run(batches):
+        best = [(np.empty(0), np.empty((0, dims)))] * len(pilots)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                lists = [v for v in batch.column(0).slice(at, 1024).to_pylist() if len(v) == dims]
+                if not lists:
+                    continue
+                v = np.array(lists)
+                for i, pilot in enumerate(pilots):
+                    away = ((v - pilot) ** 2).sum(axis=1)
+                    near = np.flatnonzero(away > 0)
+                    near = near[np.argsort(away[near], kind="stable")[:k]]
+                    away, found = np.concatenate([best[i][0], away[near]]), np.concatenate([best[i][1], v[near]])
+                    first = np.argsort(away, kind="stable")[:k]
+                    best[i] = away[first], found[first]
+        for i, (away, found) in enumerate(best):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i] * len(away), pa.int32()), pa.array(away, pa.float64()), pa.array(found.tolist(), pa.list_(pa.float64()))],
+                names=["pilot", "away", "v"],
+            )
+
+    near = rows.select("v").mapInArrow(run, "pilot int, away double, v array<double>")
+    first = Window.partitionBy("pilot").orderBy("away", "v")
+    top = near.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k).select("pilot", "v")
+    return [(r["pilot"], np.array(r["v"])) for r in top.collect()]  # at most PILOTS * k vectors
+
+
+def found_at(tables: Tables, sets: list[list[int]], queries: np.ndarray, others: np.ndarray, owner: np.ndarray | None) -> np.ndarray:
+    """Number of the probe that first meets each other vector, by query, or by ``owner`` query where given."""
+    most = max(PROBES)
+    at, places = tables.places(queries), tables.places(others)
+    shape = len(others) if owner is not None else (len(queries), len(others))
+    first = np.full(shape, most)
+    for t in range(tables.tables):
+        probed = tables.code(probes_of(at[:, t], sets, most), t)
+        own = tables.code(np.floor(places[:, t]), t)
+        if owner is not None:
+            met = probed[owner] == own[:, None]
+            first = np.minimum(first, np.where(met.any(axis=1), met.argmax(axis=1), most))
+            continue
+        for i, codes in enumerate(probed):
+            cells, number = np.unique(codes, return_index=True)
+            spot = np.minimum(np.searchsorted(cells, own), len(cells) - 1)
+            first[i] = np.minimum(first[i], np.where(cells[spot] == own, number[spot], most))
+    return first
 
 
-def in_cells(rows: DataFrame, spreads: dict[int, float], probes: int, tables: int, hashes: int) -> DataFrame:
+def fit(rows: DataFrame, samples: dict[int, np.ndarray], entries: int, k: int, tables: int = TABLES) -> tuple[Setting, float, float]:
+    """(setting, its recall on the pilots, its share of rows compared with), for the most usual length.
+
+    Of the settings that find ``TARGET`` of the pilots' neighbours the one with the least work, else
+    the one that finds most.
+    """
+    usual = Setting(tables, 8, max(PROBES), 2.0)
+    if not samples:
+        return usual, 1.0, 1.0
+    sample = max(samples.values(), key=lambda v: (len(v), v.shape[1]))
+    pilots, others = sample[:PILOTS], sample[PILOTS : PILOTS + 512]
+    near = pilot_neighbours(rows, pilots, k)
+    if not near or not len(others):
+        return usual, 1.0, 1.0
+    owner, vectors = np.array([i for i, _ in near]), np.array([v for _, v in near])
+    spread = spread_of(sample)
+    tried = []
+    for hashes in HASHES:
+        sets = perturbations(hashes, max(PROBES))
+        for width in WIDTHS:
+            built = Tables(sample.shape[1], spread, Setting(tables, hashes, max(PROBES), width))
+            hit = found_at(built, sets, pilots, vectors, owner)
+            tried += [(float((hit < probes).mean()), built, sets, Setting(tables, hashes, probes, width)) for probes in PROBES]
+    enough = min(TARGET, max(recall for recall, *_ in tried))
+    judged = []
+    for recall, built, sets, setting in tried:
+        if recall >= enough:
+            share = float((found_at(built, sets, pilots[:32], others, None) < setting.probes).mean())
+            judged.append((share * entries + PROBE_WEIGHT * tables * setting.probes, setting, recall, share))
+    return min(judged, key=lambda x: x[0])[1:]
+
+
+def in_cells(rows: DataFrame, spreads: dict[int, float], setting: Setting) -> DataFrame:
     """(cell, vec, v) of (vec, v): one row for each table, or for each probe of each table."""
     usual = float(np.median(list(spreads.values()))) if spreads else 1.0
-    sets = perturbations(hashes, probes) if probes > 1 else [[]]
+    tables, probes = setting.tables, setting.probes
+    sets = perturbations(setting.hashes, probes) if probes > 1 else [[]]
 
     def run(batches):
         built: dict[int, Tables] = {}
@@ -141,7 +250,7 @@ def in_cells(rows: DataFrame, spreads: dict[int, float], probes: int, tables: in
                 for n in np.unique(sizes).tolist():
                     own = np.flatnonzero(sizes == n)
                     if n not in built:
-                        built[n] = Tables(n, spreads.get(n) or usual, tables, hashes)
+                        built[n] = Tables(n, spreads.get(n) or usual, setting)
                     place = built[n].places(np.array([lists[i] for i in own]))
                     for t in range(tables):
                         cells = probes_of(place[:, t], sets, probes) if probes > 1 else np.floor(place[:, t])[:, None, :]
@@ -231,19 +340,24 @@ def best_pairs(rows: pa.Table, queries: pa.Table, k: int):
 
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-    tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES,
+    setting: Setting | None = None,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): up to ``k`` nearest rows of ``vectors`` for each row of ``queries``, without its own id."""
+    """(query_id, rank, vec_id, score): up to ``k`` nearest rows of ``vectors`` for each row of ``queries``, without its own id.
+
+    Without a ``setting`` one is fitted to the rows.
+    """
     spark = vectors.sparkSession
     stored = materialise(distinct_vectors(usable(vectors, id_col, vec_col), k + 1), "vectors")
     asked = usable(queries, id_col, vec_col).distinct().withColumnRenamed("id", "query_id")
     asked = materialise(asked.withColumn("qvec", F.xxhash64("v")), "queries")
     wanted = asked.select(F.col("qvec").alias("vec"), "v").distinct()
-    spreads = spread_of(stored)
+    samples = drawn(stored)
+    spreads = {n: spread_of(v) for n, v in samples.items()}
     entries = stored.count()
-    index = in_cells(stored, spreads, 1, tables, hashes)
-    probed = in_cells(wanted, spreads, probes, tables, hashes)
-    first = materialise(ranked(meet(index, probed, k + 1, entries * tables), stored, asked, k), "nearest")
+    setting = setting or fit(stored, samples, entries, k)[0]
+    index = in_cells(stored, spreads, replace(setting, probes=1))
+    probed = in_cells(wanted, spreads, setting)
+    first = materialise(ranked(meet(index, probed, k + 1, entries * setting.tables), stored, asked, k), "nearest")
     # Who has fewer than k although there are more rows: all rows, in blocks.
     length = F.size("v").alias("dims")
     sizes = stored.select(length, F.explode("ids").alias("id")).distinct().groupBy("dims").agg(F.count("*").alias("rows"))
