@@ -569,26 +569,59 @@ def landed(spark, label, *deltas):
     return base, store
 
 
-@query(
-    "stream_upsert", "activities",
-    sql="""SELECT id, updated_at + CASE WHEN name = 'click' THEN 7 ELSE 0 END AS updated_at,
-        score + CASE WHEN name = 'click' THEN 1 ELSE 0 END AS score FROM activities""",
-)
-def stream_upsert(spark, sf_dir):
+def upserted(spark, sf_dir, label):
     """Newer clicks land first and the rest after them; the stream is stopped and taken up in between."""
     source = d.activities(spark, sf_dir).drop("undeclared")
     newer = source.where(F.col("name") == "click").withColumns(
         {"updated_at": F.col("updated_at") + 7, "score": F.col("score") + 1}
     )
-    base, store = landed(spark, "upsert", (d.BULK, newer))
+    base, store = landed(spark, label, (d.BULK, newer))
     for again in (False, True):
         if again:
             pages = land_pages(source, d.BULK, f"{base}/raw", NOW, s.DEFAULT_START)
             Ledger(store).log_pages(pages, d.BULK, "run-1", NOW, 0, "all")
         consumer.follow(store, d.BULK, f"{base}/raw", f"{base}/checkpoint", until_idle=True, by_log=True).awaitTermination()
+    return base, store
+
+
+@query(
+    "stream_upsert", "activities",
+    sql="""SELECT id, updated_at + CASE WHEN name = 'click' THEN 7 ELSE 0 END AS updated_at,
+        score + CASE WHEN name = 'click' THEN 1 ELSE 0 END AS score FROM activities""",
+)
+def stream_upsert(spark, sf_dir):
+    """Of every id the newest version, whichever landed first."""
+    _, store = upserted(spark, sf_dir, "upsert")
     return store.read(d.BULK.main_table()).select("id", "updated_at", "score")
 
 
+@query(
+    "batch_metrics", "activities",
+    sql=f"""WITH landings AS (SELECT 1 AS landing, id, updated_at + 7 AS updated_at FROM activities WHERE name = 'click'
+            UNION ALL SELECT 2, id, updated_at FROM activities),
+        per AS (SELECT landing, count(*) AS n FROM landings GROUP BY 1)
+        SELECT layer, 'SUCCESS' AS status, (SELECT count(*) FROM landings) AS records, (SELECT max(updated_at) FROM landings) AS mark,
+            CASE WHEN layer = 'RAW' THEN (SELECT sum(ceil(n / {d.BULK.page_size}.0))::BIGINT FROM per) END AS pages,
+            CASE WHEN layer = 'RAW' THEN (SELECT min(updated_at) FROM landings) END AS first_version,
+            TRUE AS timed
+        FROM (VALUES ('RAW'), ('ANALYTICS')) AS l(layer)""",
+)
+def batch_metrics(spark, sf_dir):
+    """What the batch log says of two landings and of the micro-batches that loaded them, by layer."""
+    base, store = upserted(spark, sf_dir, "metrics")
+    logged = store.read(s.BATCH_LOGS).groupBy("layer", "status").agg(
+        F.sum("records_count").alias("records"),
+        F.count(F.lit(1)).alias("pages"),
+        F.min("first_version").alias("first_version"),
+        F.bool_and(F.col("duration_ms") >= 0).alias("timed"),
+    )
+    # A micro-batch logs no versions; what it reached is the mark of its layer.
+    raw = store.read(s.BATCH_LOGS).where("layer = 'RAW'").groupBy("layer").agg(F.max("last_version").alias("mark"))
+    marks = raw.unionByName(store.read(s.CHECKPOINTS).select("layer", F.col("current_watermark").alias("mark")))
+    pages = F.when(F.col("layer") == "RAW", F.col("pages")).alias("pages")
+    return logged.join(marks, "layer").select("layer", "status", "records", "mark", pages, "first_version", "timed")
+
+
 @query(
     "stream_latest", "users",
     sql="""SELECT id, arg_max(name, updated_at * 1000000000 + event_id) AS name, max(updated_at) AS updated_at,
