@@ -86,3 +86,19 @@ def test_keep_one_judges_rows_not_ids(spark):
     assert sorted(map(tuple, kept), key=repr) == sorted(
         [(5, a), (3, b), (7, other), (None, "nine ten eleven twelve thirteen")], key=repr
     )
+
+
+def test_one_component_of_most_documents_and_clashing_columns(spark):
+    words = [f"w{i}" for i in range(400)]
+    data = [(i, " ".join(words[:-1] + [f"x{i % 37}"]), "a", "b") for i in range(900, 0, -1)]
+    data += [(1000 + i, f"lone {i} text {i * 7} of {i * 31} its {i * 13} own words {i * 101}", "a", "b") for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, root string, component string")
+    fps = {i: brute_fingerprint(t, 4) for i, t, *_ in data}
+    groups, least = brute_groups(set(fps.values()), 4), {}
+    for i, f in fps.items():
+        least[groups[f]] = min(i, least.get(groups[f], i))
+    rows, comps = s.near_duplicates(docs)
+    got = {r["id"]: r["component"] for r in rows.join(comps, "fp").collect()}
+    assert got == {i: least[groups[f]] for i, f in fps.items()}
+    kept = s.keep_one(docs)
+    assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least.values()))

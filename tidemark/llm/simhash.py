@@ -12,7 +12,8 @@ size; all choices are exact. Copies fall together before the search. Buckets ove
 cut into pairs of chunks, and a group of near copies yields a spanning forest, never all its pairs.
 
 Defined cases: null and wordless texts have fingerprint zero and link like any other; a null id takes
-no part in the smallest id; a component without any id has component null.
+no part in the smallest id; a component without any id has component null. Repeated rows share a fingerprint;
+very long texts are read whole, with one word list at a time; an empty table gives no rows; other columns pass by.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ WEIGHTS = np.random.default_rng(21).integers(0, 2**64, 16, dtype=np.uint64) | np
 CHUNK = 2048
 BUCKET = 64
 SEED = 42
+SALTS = 32
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -205,9 +207,14 @@ def near_duplicates(
     rows = materialise(fingerprints(docs, words, id_col, text_col), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(near_links(distinct, bits)).withColumnRenamed("node", "fp")
-    placed = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    groups = placed.groupBy("root").agg(F.min("least").alias("component"))
-    return rows, materialise(placed.join(groups, "root").select("fp", "root", "component"), "groups")
+    # A component may hold most fingerprints: its smallest id meets them in SALTS parts, and only linked ones look for it.
+    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int").alias("salt")
+    linked = F.col("root").isNotNull().alias("linked")
+    placed = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"), linked, salt)
+    groups = placed.where("linked").groupBy("root").agg(F.min("least").alias("component"))
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = placed.join(groups, ["root", "salt"], "left").withColumn("component", F.coalesce("component", "least"))
+    return rows, materialise(named.select("fp", "root", "component"), "groups")
 
 
 def keep_one(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
