@@ -465,3 +465,28 @@ def test_newest_versions_by_state(spark, store, tmp_path):
         out = out.foreachBatch(lambda f, b: sent.append(sorted(r.name for r in f.collect())))
         out.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
         assert [names for names in sent if names] == [["a", "x"], ["y"], ["tie"]][: n + 1]
+
+
+def test_newest_versions_of_a_backlog(spark, store, tmp_path):
+    """Few micro-batches, no Python per key, and of every key the newest row is sent last and once."""
+    from tidemark.streaming import latest
+
+    latest.use_typed_state(spark)
+    root, small, sent = str(tmp_path / "raw"), changed(COMPANY, page_size=4), []
+    # Id 9 is delivered in its newest version again and again.
+    versions = spark.range(120).select(
+        (F.col("id") % 10).alias("id"), F.col("id").cast("string").alias("name"),
+        F.when(F.col("id") % 10 == 9, T0 + 500).otherwise(T0 + F.col("id")).alias("updated_at"),
+    )
+    land_pages(versions, small, root, NOW, since=T0)
+    pages = consumer.page_stream(store, small, root, 1, backlog=True)
+    typed = pages.select(*[F.col(c).cast("long").alias(c) for c in ("id", "updated_at")], "name", F.lit(0).alias("tie"))
+    newest = latest.newest_versions(typed, "id", "updated_at", "tie")
+    assert newest.columns == ["id", "updated_at", "name", "tie"]
+    assert "Py" not in newest._jdf.queryExecution().analyzed().toString()
+    out = newest.writeStream.outputMode("update").foreachBatch(lambda f, b: sent.append({r.id: r for r in f.collect()}))
+    out.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert 1 < len(sent) <= consumer.BACKLOG_BATCHES
+    last = {key: row.updated_at for batch in sent for key, row in batch.items()}
+    assert last == {**{i: T0 + 110 + i for i in range(9)}, 9: T0 + 500}
+    assert sum(9 in batch for batch in sent) == 1

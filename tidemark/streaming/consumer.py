@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -14,6 +15,7 @@ from tidemark import spec as s
 from tidemark.plans import control
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.load import Loaded, load_table
+from tidemark.session import count_files
 from tidemark.sources.pages import loose_schema, require_pages, list_days, scan_refs, with_arrival
 from tidemark.sources.store import TableStore, stored_schema
 
@@ -21,19 +23,29 @@ from tidemark.sources.store import TableStore, stored_schema
 FOLLOW_PAGES = 10
 DRAIN_PAGES = 50
 FOLLOW_INTERVAL = "1 second"
+# Fixed value: micro-batches that a backlog takes at most, however many pages it has.
+BACKLOG_BATCHES = 12
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def page_stream(store: TableStore, spec: s.EntitySpec, root: str, pages: int) -> DataFrame:
-    """New pages of an entity as a stream of untyped records."""
+def page_stream(store: TableStore, spec: s.EntitySpec, root: str, pages: int, backlog: bool = False) -> DataFrame:
+    """New pages of an entity as a stream of untyped records, ``pages`` to a micro-batch.
+
+    With ``backlog`` a micro-batch takes more where the landed pages would need more than
+    ``BACKLOG_BATCHES`` of them: each costs some seconds for its plan, state and log rows whatever it
+    reads, so a fixed size would make many pages take a time that no number of executors shortens.
+    """
+    folder = f"{root}/{spec.path.strip('/')}"
+    if backlog:
+        pages = max(pages, math.ceil(count_files(store.spark, folder) / BACKLOG_BATCHES))
     stream = (
         store.spark.readStream.schema(loose_schema(spec))
         .option("maxFilesPerTrigger", pages)
         .option("recursiveFileLookup", "true")
-        .json(f"{root}/{spec.path.strip('/')}")
+        .json(folder)
     )
     return with_arrival(stream, spec)
 

@@ -634,7 +634,7 @@ def stream_latest(spark, sf_dir):
     staged = history.one_per_instant(d.users(spark, sf_dir), "id", "updated_at", ["event_id"])
     land_pages(staged, BULK_USER, f"{base}/raw", NOW, s.DEFAULT_START)
     store = TableStore(spark, f"{base}/tables")
-    rows = align(consumer.page_stream(store, BULK_USER, f"{base}/raw", 5), BULK_USER.schema)
+    rows = align(consumer.page_stream(store, BULK_USER, f"{base}/raw", 5, backlog=True), BULK_USER.schema)
     newest = latest.newest_versions(rows.select("id", "name", "updated_at", "event_id"), "id", "updated_at", "event_id")
 
     def append(frame, batch):
