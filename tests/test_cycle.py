@@ -467,6 +467,16 @@ def test_newest_versions_by_state(spark, store, tmp_path):
         assert [names for names in sent if names] == [["a", "x"], ["y"], ["tie"]][: n + 1]
 
 
+def test_a_backlog_takes_few_micro_batches(spark, store, tmp_path):
+    """However many pages wait, their micro-batches are few, and every page is consumed."""
+    root, small = str(tmp_path / "raw"), changed(COMPANY, page_size=2)
+    land_pages(companies(spark, 60), small, root, NOW, since=T0)
+    consumer.follow(store, small, root, str(tmp_path / "cp"), pages=1, until_idle=True).awaitTermination()
+    assert store.read(COMPANY.main_table()).count() == 60
+    loads = [b.records_count for b in store.read(s.BATCH_LOGS).where("layer = 'ANALYTICS'").collect()]
+    assert sum(loads) == 60 and len(loads) <= consumer.BACKLOG_BATCHES
+
+
 def test_newest_versions_of_a_backlog(spark, store, tmp_path):
     """Few micro-batches, no Python per key, and of every key the newest row is sent last and once."""
     from tidemark.streaming import latest

@@ -76,6 +76,8 @@ def follow(
 ) -> StreamingQuery:
     """Consume pages as they land; with ``until_idle`` stop when none is left.
 
+    ``pages`` go to a micro-batch, more only where ``until_idle`` meets a large backlog.
+
     With ``by_log`` the stream is that of the batch log, and the pages named by its rows are read by
     their names: what was consumed are batch ids, in the order they were logged, whatever the times
     or the order of the files. Otherwise every page found is consumed, logged or not. A full-load
@@ -129,7 +131,7 @@ def follow(
         ledger.checkpoint(spec.name, "ANALYTICS", max(mark, done.watermark or mark), clock(), last_batch_id=last)
         log("SUCCESS", done.rows)
 
-    stream = log_stream(store, pages) if by_log else page_stream(store, spec, root, pages)
+    stream = log_stream(store, pages) if by_log else page_stream(store, spec, root, pages, backlog=until_idle)
     writer = stream.writeStream.foreachBatch(consume).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if until_idle else {"processingTime": FOLLOW_INTERVAL}
     return writer.trigger(**trigger).start()
