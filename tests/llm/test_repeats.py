@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -120,3 +121,29 @@ def test_windows_beyond_the_hash_are_refused(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError):
         suffix_dedup.dedup(docs, 501)
+
+
+def test_op8_judges_400_bytes_whatever_the_words(spark, tmp_path):
+    """Passages of 60 words: 399 bytes stay, 400 go from both documents; all columns as the contract has them."""
+    rng = random.Random(400)
+
+    def passage(size):
+        words = ["".join(rng.choices("abcdef", k=5)) for _ in range(59)]
+        return " ".join([*words, "z" * (size - 59 * 6)])
+
+    short, long, wide = passage(399), passage(400), "é" * 200
+    rows = [
+        (1, f"A{short}B"), (2, f"C{short}D"), (3, f"E{long}F"), (4, f"G{long}H{wide}"), (5, f"I{wide}J{long}K"),
+        (6, f"L{long[:399]}M{long[1:]}"), (7, "x" * 401), (8, ""), (9, None), (None, f"N{wide}"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    texts = [(t or "").encode() for _, t in rows]
+    spans = [0, 0, 1, 2, 2, 0, 1, 0, 0, 1]
+    want = {
+        (i, len(t), len(t) - len(k), n, hashlib.sha256(k).hexdigest())
+        for (i, _), t, k, n in zip(rows, texts, brute_bytes(texts, 400), spans)
+    }
+    got = suffix_dedup.op8(spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert len(got) == len(rows) and set(map(tuple, got)) == want
+    removed = {r["doc_id"]: r["n_removed"] for r in got}
+    assert (removed[1], removed[2], removed[3], removed[4], removed[5], removed[6]) == (0, 0, 400, 800, 800, 0)
